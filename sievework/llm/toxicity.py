@@ -280,3 +280,15 @@ def op5_crf_toxicity(spark, sf_dir: str) -> DataFrame:
     model = fit_on(docs, table(spark, sf_dir, "labels"))
     out = tag_toxic(docs, model).withColumnRenamed("id", "doc_id")
     return out.select("doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"), F.size("spans").alias("n_spans"))
+
+
+def drop_toxic(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose whole text scores below the threshold."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            keep = [model.score([p for _, _, p in model.tag(t.as_py() or "")[0]]) < threshold for t in rb.column(at)]
+            yield rb.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
