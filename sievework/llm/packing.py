@@ -13,6 +13,7 @@ import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +83,12 @@ class WordTokenizer:
         return [np.frombuffer(b"".join([words[w] for w in ws]), dtype="<u4") for ws in lists]
 
 
+@cache
+def _tokenizer(path: str) -> WordTokenizer:
+    """One for each Python worker, so that the parts it holds serve the worker's later tasks too."""
+    return WordTokenizer(path)
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, eos: int = EOS, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """``id, piece, start, length, ids_crc32`` (and ``ids``): each document's ids plus ``eos``, cut every ``limit`` tokens.
 
@@ -90,7 +97,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, eos: int =
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = WordTokenizer(tokenizer)
+        tok = _tokenizer(tokenizer)
         tail = np.array([eos], dtype="<u4")
         for rb in batches:
             for lo in range(0, rb.num_rows, 512):
