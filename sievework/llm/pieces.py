@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -134,6 +135,12 @@ class PieceModel:
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", errors="replace")
 
 
+@cache
+def _model(path: str) -> PieceModel:
+    """One for each Python worker."""
+    return PieceModel(path)
+
+
 def _ids_column(arrays: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, dtype=np.int32), pa.int32()))
@@ -144,7 +151,7 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = PieceModel(model)
+        m = _model(model)
         for rb in batches:
             for lo in range(0, rb.num_rows, 512):
                 part = rb.slice(lo, 512)
@@ -158,7 +165,7 @@ def decode_pieces(encoded: DataFrame, model: str, keep: tuple[str, ...] = ("id",
     """Adds ``decoded`` to rows with ``ids``; null ids decode to the empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = PieceModel(model)
+        m = _model(model)
         for rb in batches:
             texts = [m.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else "" for x in rb.column("ids")]
             crcs = [zlib.crc32(np.asarray(x.values.to_numpy(zero_copy_only=False), dtype="<i4")) if x.is_valid else 0 for x in rb.column("ids")]

@@ -12,6 +12,7 @@ import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -102,6 +103,12 @@ class Sampler:
         return out
 
 
+@cache
+def _sampler(samples: int) -> Sampler:
+    """One for each Python worker."""
+    return Sampler(samples)
+
+
 def edited(text: str, following: str) -> str:
     """The text with its last quarter (rounded down, code points) replaced by as many of the following text's first."""
     q = len(text) // 4
@@ -157,7 +164,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler(samples)
+        sampler = _sampler(samples)
         last = None  # bucket, id, text, signature of the row that waits for its successor
 
         for rb in batches:
