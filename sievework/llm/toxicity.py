@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -125,26 +124,35 @@ def _doc_features(marginals: list[float]) -> tuple[float, float]:
 
 
 def _lexicon(texts: list[list[str]], labels: np.ndarray) -> set[str]:
-    """Features whose documents are toxic beyond chance (a Chernoff bound over all features that are frequent enough to pass it) and nearly always."""
-    df = [Counter(), Counter()]
-    for words, y in zip(texts, labels, strict=True):
-        df[y].update({f for w in set(words) for f in token_features(w)})
+    """Features whose documents are toxic beyond chance (a Chernoff bound over all features that are frequent enough to pass it) and
+    nearly always. Counted by hash, so that no dictionary of all features is held."""
     n1, n0 = int(labels.sum()), int((1 - labels).sum())
     if not n1 or not n0:
         return set()
+    seen = [[np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.uint64)]]
+    for words, y in zip(texts, labels, strict=True):
+        mine = {_feature_hash(f) for w in set(words) for f in token_features(w)}
+        seen[y].append(np.fromiter(mine, dtype=np.uint64, count=len(mine)))
+    toxic, clean = np.concatenate(seen[1]), np.concatenate(seen[0])
+    every, inverse = np.unique(np.concatenate([toxic, clean]), return_inverse=True)
+    a = np.bincount(inverse[: len(toxic)], minlength=len(every)).astype(np.float64)
+    b = np.bincount(inverse[len(toxic) :], minlength=len(every)).astype(np.float64)
     base = n1 / (n1 + n0)
     least = max(2, math.ceil(math.log(100) / math.log(1 / base)))
-    tried = [(f, a, df[0][f]) for f, a in df[1].items() if a + df[0][f] >= least]
-    every = len(tried) + sum(1 for f, b in df[0].items() if b >= least and f not in df[1])
-    need, out = math.log(max(every, 2) / 0.5), set()
-    for f, a, b in tried:
-        p = a / (a + b)
-        if (a / n1) / (a / n1 + (b + 0.25) / n0) < 0.9 or p <= base:
-            continue
-        kl = p * math.log(p / base) + ((1 - p) * math.log((1 - p) / (1 - base)) if p < 1 else 0.0)
-        if (a + b) * kl > need:
-            out.add(f)
-    return out
+    tried = a + b >= least
+    need = math.log(max(int(tried.sum()), 2) / 0.5)
+    every, a, b = every[tried], a[tried], b[tried]
+    p = a / (a + b)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        kl = np.where(p > 0, p * np.log(p / base), 0.0) + np.where(p < 1, (1 - p) * np.log((1 - p) / (1 - base)), 0.0)
+    good = set(every[(a / n1 / (a / n1 + (b + 0.25) / n0) >= 0.9) & (p > base) & ((a + b) * kl > need)].tolist())
+    return {f for words, y in zip(texts, labels, strict=True) if y for w in set(words) for f in token_features(w) if _feature_hash(f) in good}
+
+
+def _feature_hash(feature: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(feature)
 
 
 def _fit_field(windows: np.ndarray, states: np.ndarray, mask: np.ndarray, size: int, rounds: int = 150, l2: float = 1e-3) -> tuple[np.ndarray, float, np.ndarray]:
@@ -191,7 +199,8 @@ def _fit_field(windows: np.ndarray, states: np.ndarray, mask: np.ndarray, size:
 def fit(texts: list[str], labels: list[int]) -> ToxicModel:
     """A model from labelled texts. Without toxic or clean rows every score is that of a text without hits."""
     y = np.array(labels, dtype=np.int64)
-    words = [WORD.findall(lowered(t)) for t in texts]
+    one: dict[str, str] = {}
+    words = [[one.setdefault(w, w) for w in WORD.findall(lowered(t))] for t in texts]
     lexicon = sorted(_lexicon(words, y))
     number = {f: i + 1 for i, f in enumerate(lexicon)}
     span, width = 2 * CONTEXT + 1, len(PREFIXES) + 1
@@ -217,16 +226,15 @@ def fit(texts: list[str], labels: list[int]) -> ToxicModel:
             mask.append(m)
     if not win:
         return ToxicModel({}, -4.0, ((0.0, 0.0), (0.0, 0.0)), (-4.0, 1.0, 0.0))
-    pick = np.argsort([(i * 2654435761) % (1 << 32) for i in range(len(win))])[:20_000]
+    pick = np.argsort([(i * 2654435761) % (1 << 32) for i in range(len(win))])[:8_000]
     theta, bias, step = _fit_field(np.stack(win)[pick], np.stack(state)[pick], np.stack(mask)[pick], len(lexicon))
     model = ToxicModel({f: float(theta[i]) for f, i in number.items()}, float(bias), tuple(map(tuple, step.tolist())), (0.0, 1.0, 1.0))
     x = np.array([(1.0, *_doc_features([p for _, _, p in model.tag(t)[0]])) for t in texts])
-    weight = np.where(y == 1, 1.0, 1.0)
     w = np.zeros(3)
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (weight * (y - p)) - np.array([0, 0.1, 0.1]) * w
-        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag([1e-6, 0.1, 0.1])
+        grad = x.T @ (y - p) - np.array([0, 0.1, 0.1]) * w
+        hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag([1e-6, 0.1, 0.1])
         w = w + np.linalg.solve(hess, grad)
     model.calibration = tuple(float(v) for v in w)
     return model
