@@ -52,7 +52,7 @@ def decode_entities(text: pd.Series) -> pd.Series:
 
 def drop_segments(text: Column, separator: str, drop: str) -> Column:
     """Segments of a text without those that match ``drop``."""
-    return F.array_join(F.filter(F.transform(F.split(text, separator), F.trim), lambda s: (s != "") & ~F.rlike(s, F.lit(drop))), ". ")
+    return F.array_join(F.filter(F.transform(F.split(text, separator), lambda s: F.trim(s)), lambda s: (s != "") & ~F.rlike(s, F.lit(drop))), ". ")
 
 
 def cap_text(text: Column, most: int) -> Column:
