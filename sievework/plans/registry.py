@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("search", "store", "ranking", "quotas", "similar", "captions", "states", "planning", "learning")
+_MODULES = ("search", "store", "ranking", "quotas", "similar", "captions", "states", "planning", "learning", "streams", "files")
 _loaded = False
 
 
