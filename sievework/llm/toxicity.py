@@ -25,6 +25,8 @@ SAMPLE_PER_CLASS = 4000
 PREFIXES = (4, 5, 6)
 STEM = 4
 CONTEXT = 8
+#: Labelled windows that the field is fitted on at most.
+WINDOWS = 8000
 THRESHOLD = 0.3
 WORD = re.compile(r"[^\W_]+")
 
@@ -129,14 +131,17 @@ def _lexicon(texts: list[list[str]], labels: np.ndarray) -> set[str]:
     n1, n0 = int(labels.sum()), int((1 - labels).sum())
     if not n1 or not n0:
         return set()
-    seen = [[np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.uint64)]]
-    for words, y in zip(texts, labels, strict=True):
-        mine = {_feature_hash(f) for w in set(words) for f in token_features(w)}
-        seen[y].append(np.fromiter(mine, dtype=np.uint64, count=len(mine)))
-    toxic, clean = np.concatenate(seen[1]), np.concatenate(seen[0])
-    every, inverse = np.unique(np.concatenate([toxic, clean]), return_inverse=True)
-    a = np.bincount(inverse[: len(toxic)], minlength=len(every)).astype(np.float64)
-    b = np.bincount(inverse[len(toxic) :], minlength=len(every)).astype(np.float64)
+    every, a, b = np.zeros(0, dtype=np.uint64), np.zeros(0), np.zeros(0)
+    for lo in range(0, len(texts), 250):
+        part = [[np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.uint64)]]
+        for words, y in zip(texts[lo : lo + 250], labels[lo : lo + 250], strict=True):
+            mine = {_feature_hash(f) for w in set(words) for f in token_features(w)}
+            part[y].append(np.fromiter(mine, dtype=np.uint64, count=len(mine)))
+        toxic, clean = np.concatenate(part[1]), np.concatenate(part[0])
+        every, at = np.unique(np.concatenate([every, toxic, clean]), return_inverse=True)
+        old, new = at[: len(a)], at[len(a) :]
+        plus = np.bincount(new[: len(toxic)], minlength=len(every)), np.bincount(new[len(toxic) :], minlength=len(every))
+        a, b = (np.bincount(old, weights=v, minlength=len(every)) + p for v, p in zip((a, b), plus, strict=True))
     base = n1 / (n1 + n0)
     least = max(2, math.ceil(math.log(100) / math.log(1 / base)))
     tried = a + b >= least
@@ -204,30 +209,29 @@ def fit(texts: list[str], labels: list[int]) -> ToxicModel:
     lexicon = sorted(_lexicon(words, y))
     number = {f: i + 1 for i, f in enumerate(lexicon)}
     span, width = 2 * CONTEXT + 1, len(PREFIXES) + 1
-    win, state, mask = [], [], []
+
+    def features(w: str) -> list[int]:
+        return [number[f] for f in token_features(w) if f in number]
+
+    places = []
     for i, ws in enumerate(words):
-        feats = {}
-        for k, w in enumerate(ws):
-            got = [number[f] for f in token_features(w) if f in number]
-            if got:
-                feats[k] = got
-        centres = sorted(feats)[:32] or ([(i * 7919) % len(ws)] if ws else [])
-        for c in centres:
-            x, s, m = np.zeros((span, width), dtype=np.int64), np.zeros(span, dtype=np.int64), np.zeros(span, dtype=bool)
-            for t in range(span):
-                k = c - CONTEXT + t
-                if 0 <= k < len(ws):
-                    m[t] = True
-                    got = feats.get(k, [])
-                    x[t, : len(got)] = got
-                    s[t] = int(bool(got) and y[i] == 1)
-            win.append(x)
-            state.append(s)
-            mask.append(m)
-    if not win:
+        centres = [k for k, w in enumerate(ws) if features(w)][:32] or ([(i * 7919) % len(ws)] if ws else [])
+        places += [(i, c) for c in centres]
+    if not places:
         return ToxicModel({}, -4.0, ((0.0, 0.0), (0.0, 0.0)), (-4.0, 1.0, 0.0))
-    pick = np.argsort([(i * 2654435761) % (1 << 32) for i in range(len(win))])[:8_000]
-    theta, bias, step = _fit_field(np.stack(win)[pick], np.stack(state)[pick], np.stack(mask)[pick], len(lexicon))
+    pick = np.argsort([(k * 2654435761) % (1 << 32) for k in range(len(places))])[:WINDOWS]
+    win = np.zeros((len(pick), span, width), dtype=np.int64)
+    state, mask = np.zeros((len(pick), span), dtype=np.int64), np.zeros((len(pick), span), dtype=bool)
+    for row, k in enumerate(pick):
+        i, c = places[k]
+        for t in range(span):
+            j = c - CONTEXT + t
+            if 0 <= j < len(words[i]):
+                got = features(words[i][j])
+                mask[row, t] = True
+                win[row, t, : len(got)] = got
+                state[row, t] = int(bool(got) and y[i] == 1)
+    theta, bias, step = _fit_field(win, state, mask, len(lexicon))
     model = ToxicModel({f: float(theta[i]) for f, i in number.items()}, float(bias), tuple(map(tuple, step.tolist())), (0.0, 1.0, 1.0))
     x = np.array([(1.0, *_doc_features([p for _, _, p in model.tag(t)[0]])) for t in texts])
     w = np.zeros(3)
