@@ -37,19 +37,22 @@ def draw(words: list[str], weights: np.ndarray, samples: int = SAMPLES) -> tuple
     import xxhash
 
     seeds = np.array([xxhash.xxh64_intdigest(w, 7) for w in words], dtype=np.uint64)[:, None]
-    lanes = np.arange(1, 3 * samples + 1, dtype=np.uint64) * _GOLD
-    h = _mix(seeds + lanes).reshape(len(words), 3, samples)
-    low = (h & np.uint64(0xFFFFFFFF)).astype(np.float64) + 0.5
-    high = (h >> np.uint64(32)).astype(np.float64) + 0.5
-    low *= 2.0**-32
-    high *= 2.0**-32
-    r = -np.log(low[:, 0] * high[:, 0])
-    log_c = np.log(-np.log(low[:, 1] * high[:, 1]))
-    beta = low[:, 2]
-    t = np.floor(np.log(weights)[:, None] / r + beta)
+    lanes = np.arange(1, 2 * samples + 1, dtype=np.uint64) * _GOLD
+    h = _mix(seeds + lanes)
+    u = [_uniform(h, shift) for shift in (1, 22, 43)]
+    n = samples
+    r = -np.log(u[0][:, :n] * u[1][:, :n])
+    log_c = np.log(-np.log(u[2][:, :n] * u[0][:, n:]))
+    beta = u[1][:, n:]
+    t = np.floor(np.log(weights).astype(np.float32)[:, None] / r + beta)
     value = log_c - r * (t - beta) - r
-    same = _mix(h[:, 2] ^ _mix(t.astype(np.int64).view(np.uint64) + _GOLD))
-    return value.astype(np.float32), (same & np.uint64(0xFFFF)).astype(np.uint16)
+    same = (h[:, n:] ^ (t.astype(np.int64).view(np.uint64) * _GOLD)) * np.uint64(0xD6E8FEB86659FD93)
+    return value, (same >> np.uint64(48)).astype(np.uint16)
+
+
+def _uniform(h: np.ndarray, shift: int) -> np.ndarray:
+    """A number between 0 and 1 from 21 bits."""
+    return ((h >> np.uint64(shift)).astype(np.uint32) & np.uint32(0x1FFFFF)).astype(np.float32) * np.float32(2.0**-21) + np.float32(2.0**-22)
 
 
 class Sampler:
@@ -62,8 +65,10 @@ class Sampler:
         self.at: dict = {}
         self.lanes = np.arange(samples)
 
-    def _learn(self, keys: list) -> None:
-        if len(self.at) + len(keys) > self.held:
+    def _learn(self, keys: list) -> bool:
+        """Whether what was held had to be dropped first."""
+        dropped = len(self.at) + len(keys) > self.held
+        if dropped:
             self.at.clear()
         n = len(self.at)
         while n + len(keys) > len(self.values):
@@ -76,6 +81,7 @@ class Sampler:
             self.values[n : n + len(part)], self.names[n : n + len(part)] = draw(words, weights, self.samples)
             self.at.update(zip(part, range(n, n + len(part)), strict=True))
             n += len(part)
+        return dropped
 
     def signature(self, text: str) -> np.ndarray:
         """16 bits a draw. A text without words is a bag of one empty word."""
@@ -87,8 +93,7 @@ class Sampler:
             at = self.at
             rows = [at.get(k, -1) for k in part]
             if -1 in rows:
-                self._learn([k for k, i in zip(part, rows, strict=True) if i < 0])
-                if any(k not in at for k in part):
+                if self._learn([k for k, i in zip(part, rows, strict=True) if i < 0]):
                     self._learn([k for k in part if k not in at])
                 rows = [at[k] for k in part]
             rows = np.array(rows)
