@@ -28,7 +28,7 @@ from sievework.llm.common import scratch, stored, table, text_or_empty
 
 LENGTH = 400
 ORDER = 13
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20
 SHORT_KEY = 40
 
