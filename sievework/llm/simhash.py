@@ -214,6 +214,8 @@ NEAR = 0.8
 SLACK = 1.65
 RECALL = 0.998
 LEAST_BIT = 0.925
+#: Rows of one key that a task holds; beyond them it links what it has and goes on with one row of each component.
+HELD = 65_536
 
 
 def block_plan(rows: int) -> tuple[int, int]:
@@ -260,9 +262,9 @@ def wide_fingerprints(text: str | None, shingle: int, words: int, block_words: i
     return _majority(np.unique(own), words).tobytes(), _majority(distinct, block_words).tobytes()
 
 
-def link_wide(ids: np.ndarray, prints: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between rows of one bucket at most ``most`` bits apart, enough for its components: a row is compared with later ones that
-    it is not yet joined to, so a group of near copies costs little more than one comparison a row."""
+def link_wide(ids: np.ndarray, prints: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links between rows of one bucket at most ``most`` bits apart, enough for its components, and a row of each component: a row is
+    compared with later ones that it is not yet joined to, so a group of near copies costs little more than one comparison a row."""
     m = len(ids)
     label, a, b = np.arange(m), [], []
     for i in range(m - 1):
@@ -276,7 +278,7 @@ def link_wide(ids: np.ndarray, prints: np.ndarray, most: int) -> tuple[np.ndarra
             a.extend([ids[i]] * len(near))
             b.extend(ids[near])
             label[np.isin(label, label[near])] = label[i]
-    return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+    return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64), np.unique(label)
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = NEAR, words: int = WORDS) -> DataFrame:
@@ -320,8 +322,10 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         held_key, held = None, []
 
         def emit():
-            ids = np.concatenate([h[0] for h in held])
-            a, b = link_wide(ids, np.concatenate([h[1] for h in held]), most)
+            nonlocal held
+            ids, wide = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+            a, b, one = link_wide(ids, wide, most)
+            held = [(ids[one], wide[one])]
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for rb in batches:
@@ -339,6 +343,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     held = []
                 held_key = key[lo]
                 held.append((ids[lo:hi], wide[lo:hi]))
+                if hi == len(key) and sum(len(h[0]) for h in held) > HELD:
+                    yield emit()
                 if hi < len(key):
                     if sum(len(h[0]) for h in held) > 1:
                         yield emit()

@@ -449,7 +449,9 @@ def test_simhash_odd_rows(odd, empty):
     assert simhash.near_components(common.stored(simhash.fingerprints(empty), "t")).count() == 0
 
 
-def test_similar_components_finds_near_copies_and_leaves_the_rest(spark):
+@pytest.mark.parametrize("held", [65536, 2])
+def test_similar_components_finds_near_copies_and_leaves_the_rest(spark, monkeypatch, held):
+    monkeypatch.setattr(simhash, "HELD", held)
     rng = random.Random(5)
     vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 9))) for _ in range(900)]
     rows, want = [], {}
