@@ -9,14 +9,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def bucket_grid(resolution: int, step: int = 16, widest: float = 4.0) -> list[tuple[int, int]]:
-    """Width and height pairs on a grid whose area comes nearest below ``resolution`` squared, from square to ``widest``, both ways."""
-    area, out = resolution * resolution, set()
-    for w in range(step, int(resolution * widest) + step, step):
-        h = area // w // step * step
-        if h >= step and max(w, h) / min(w, h) <= widest:
-            out |= {(w, h), (h, w)}
-    return sorted(out)
+#: Aspect ratio families and the ratios of their buckets at the largest tier.
+FAMILIES = {"9:16": 0.5647, "2:3": 0.6667, "4:5": 0.8028, "1:1": 1.0, "5:4": 1.2456, "3:2": 1.5, "16:9": 1.7708}
+TIERS = (1024, 768, 512)
+UPSCALE = 1.15
+
+
+def bucket_grid(resolution: int, step: int = 16) -> list[tuple[int, int]]:
+    """Sizes on a grid for one resolution: each width from half the side to the side with the tallest height that keeps the area, and
+    the same turned."""
+    first, area = resolution // 2 // step * step, resolution * resolution
+    wide = {(w, area // w // step * step) for w in range(first, resolution + step, step)}
+    return sorted(wide | {(h, w) for w, h in wide})
+
+
+def family_bucket(tier: int, family: str) -> tuple[int, int]:
+    """The tier's bucket whose ratio is nearest to the family's."""
+    return min(bucket_grid(tier), key=lambda b: abs(b[0] / b[1] - FAMILIES[family]))
 
 
 def band_score(value: Column, bands: Sequence[tuple[float, int]]) -> Column:
@@ -47,33 +56,43 @@ def blend(a: Column, b: Column, weight: float) -> Column:
     return F.exp(weight * F.log(F.greatest(a, F.lit(1.0))) + (1 - weight) * F.log(F.greatest(b, F.lit(1.0))))
 
 
-def nearest_family(ratio: Column, families: Sequence[float]) -> Column:
-    """The aspect ratio family nearest by logarithm."""
-    return F.array_min(F.array(*[F.struct(F.abs(F.log(ratio) - F.log(F.lit(f))).alias("d"), F.lit(float(f)).alias("f")) for f in families]))["f"]
+def nearest_family(ratio: Column) -> Column:
+    """The family whose ratio is nearest; the first of equals. Nothing is too wide for one."""
+    pairs = F.array(*[F.struct(F.abs(ratio - r).alias("d"), F.lit(i).alias("i"), F.lit(n).alias("n")) for i, (n, r) in enumerate(FAMILIES.items())])
+    return F.array_min(pairs)["n"]
 
 
-def crop_to(width: Column, height: Column, tw: Column, th: Column) -> tuple[Column, Column]:
-    """The largest part of a picture with the target's ratio; half-even rounding."""
-    wide = width * th > height * tw
-    return F.when(wide, F.bround(height * tw / th)).otherwise(width).cast("long"), F.when(wide, height).otherwise(F.bround(width * th / tw)).cast("long")
+def crop_to(width: Column, height: Column, ratio: Column) -> tuple[Column, Column]:
+    """The largest part of a picture with a ratio; half-even rounding, at least one pixel."""
+    wide = width / height > ratio
+    cw = F.when(wide, F.bround(height * ratio)).otherwise(width)
+    ch = F.when(wide, height).otherwise(F.bround(width / ratio))
+    inside = lambda v, most: F.greatest(F.lit(1), F.least(v, most)).cast("long")
+    return inside(cw, width), inside(ch, height)
 
 
-def crop_box(width: Column, height: Column, cw: Column, ch: Column) -> tuple[Column, Column]:
-    """Left and top of a crop: centred, a third from the top when height is cut."""
-    return F.floor((width - cw) / 2), F.floor((height - ch) / 3)
+def crop_box(width: Column, height: Column, cw: Column, ch: Column, ratio: Column) -> tuple[Column, Column]:
+    """Left and top of a crop: centred, but a third from the top for upright targets."""
+    return F.floor((width - cw) / 2), F.floor((height - ch) * F.when(ratio < 1, 1 / 3).otherwise(0.5))
 
 
 def crop_cost(width: Column, height: Column, cw: Column, ch: Column) -> Column:
+    """Share of the pixels that a crop discards."""
     return 1 - (cw * ch) / (width * height)
 
 
-def fit_tier(width: Column, height: Column, tiers: Sequence[int], upscale: float = 1.15) -> Column:
-    """The largest tier whose area the picture reaches with at most ``upscale`` enlargement; null if none."""
-    out = None
-    for t in sorted(tiers, reverse=True):
-        ok = F.sqrt(width * height) * upscale >= t
-        out = F.when(ok, t) if out is None else out.when(ok, t)
-    return out
+def assign_tier(width: Column, height: Column, tiers: Sequence[int] = TIERS) -> Column:
+    """``tier, bw, bh, cw, ch`` of the first tier, from the largest, whose bucket the cropped picture fills with at most ``UPSCALE``
+    enlargement; null if it is too small for all."""
+    number = F.array_min(F.array(*[F.struct(F.abs(width / height - r).alias("d"), F.lit(i).alias("i")) for i, r in enumerate(FAMILIES.values())]))["i"]
+    sizes = F.array(*[F.array(*[F.struct(F.lit(t).alias("tier"), *[F.lit(v).alias(k) for k, v in zip(("bw", "bh"), family_bucket(t, n), strict=True)]) for t in sorted(tiers, reverse=True)]) for n in FAMILIES])
+
+    def cropped(b: Column) -> Column:
+        cw, ch = crop_to(width, height, b["bw"] / b["bh"])
+        return F.struct(b["tier"].alias("tier"), b["bw"].alias("bw"), b["bh"].alias("bh"), cw.alias("cw"), ch.alias("ch"))
+
+    able = F.filter(F.transform(F.get(sizes, number), cropped), lambda b: b["cw"] * b["ch"] >= b["bw"] * b["bh"] / (UPSCALE * UPSCALE))
+    return F.get(able, F.lit(0))
 
 
 def limit_area(width: Column, height: Column, area: int) -> tuple[Column, Column]:

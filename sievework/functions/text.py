@@ -35,6 +35,16 @@ def clean_social_caption(text: Column) -> Column:
     return F.when(F.rlike(t, F.lit(r"[0-9A-Za-z_\p{L}]")), t).otherwise("")
 
 
+def clean_import_caption(text: Column) -> Column:
+    """A caption without links, hashtags and mentions; its lines are kept and tidied, those without a word go."""
+    t = F.regexp_replace(text, r"(?i)(?:https?://|www\.)\S+|\b(?:t|telegram)\.me/\S+", " ")
+    t = F.regexp_replace(t, r"(?U)(?<![\w&])#[\w-]+", " ")
+    t = F.regexp_replace(t, r"(?U)(?<![\w@.])@\w{2,}", " ")
+    tidy = lambda line: F.regexp_replace(F.btrim(F.regexp_replace(line, "[ \t]+", " "), F.lit(" \t\r")), r"\s+([,.;:!?])", "$1")
+    lines = F.filter(F.transform(F.split(F.replace(t, F.lit("\r\n"), F.lit("\n")), "\n"), tidy), lambda line: F.rlike(line, F.lit(r"(?U)\w")))
+    return F.array_join(lines, "\n")
+
+
 def strip_markup(text: Column) -> Column:
     """Line breaks to spaces, tags out, the common entities decoded, URLs out, spaces squeezed."""
     t = F.regexp_replace(text, r"(?i)<br[^>]*>", " ")
@@ -185,6 +195,63 @@ def unsupported(reply: Column, source: Column, table: dict[str, str]) -> Column:
     return F.array_except(concepts(reply, table), concepts(source, table))
 
 
+#: Stems and endings of the Russian words for colour and black-and-white.
+RU_MEDIUM = re.compile(r"(?<!\w)(?:цветн|ч[её]рно-бел)(?:ая|ое|ой|ые|ый|ую|ого|ому|ом|ых|ым|ыми|ою|ей)(?!\w)", re.IGNORECASE)
+
+
+@F.pandas_udf(T.StringType())
+def strip_russian_medium(text: pd.Series) -> pd.Series:
+    """Captions whose Russian tail, after ``., ``, loses its medium words; a removed word's capital passes to the next word."""
+
+    def one(s):
+        if not isinstance(s, str):
+            return None
+        head, sep, tail = s.partition("., ")
+        out, at, capital = [], 0, False
+        for m in RU_MEDIUM.finditer(tail):
+            piece = tail[at : m.start()]
+            if capital and piece[:1].islower():
+                piece = piece[0].upper() + piece[1:]
+            at = m.end()
+            if tail[at : at + 1] == " ":
+                while tail[at : at + 1] == " ":
+                    at += 1
+            elif piece.endswith(" "):
+                piece = piece[:-1]
+            out.append(piece)
+            capital = m.group()[0].isupper() or (capital and not piece)
+        rest = tail[at:]
+        if capital and rest[:1].islower():
+            rest = rest[0].upper() + rest[1:]
+        return head + sep + "".join(out) + rest
+
+    return text.map(one)
+
+
+def budgeted_prefix(budget: int, least: int = 8, separator: str = "__"):
+    """A function of folder names that joins them within a budget: the deepest is shortened first, down to ``least``, then those above
+    it, then the deepest go, and the root is cut last."""
+
+    @F.pandas_udf(T.StringType())
+    def prefix(parts: pd.Series) -> pd.Series:
+        def shorten(p, n):
+            return p[:n].rstrip("_-") or p[:n]
+
+        def one(names):
+            kept = [re.sub(r"[^A-Za-z0-9-]+", "_", str(n)).strip("_-") or "x" for n in names]
+            size = lambda: len(separator.join(kept))
+            for k in reversed(range(1, len(kept))):
+                if size() > budget:
+                    kept[k] = shorten(kept[k], max(least, len(kept[k]) - (size() - budget)))
+            while len(kept) > 1 and size() > budget:
+                del kept[-1]
+            return separator.join(kept) if size() <= budget else shorten(kept[0], budget)
+
+        return parts.map(one)
+
+    return prefix
+
+
 #: A transliteration of the Russian alphabet, letter by letter.
 CYRILLIC = dict(zip("абвгдежзийклмнопрстуфхцчшщъыьэюя", "a b v g d e zh z i y k l m n o p r s t u f kh ts ch sh shch _ y _ e yu ya".replace("_", "").split(" "), strict=True)) | {"ё": "e"}
 

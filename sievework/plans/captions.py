@@ -28,6 +28,12 @@ def x05(spark, sf):
     return docs(spark, sf).select("doc_id", X.clean_social_caption(t).alias("caption"))
 
 
+@query("x06_import_caption")
+def x06(spark, sf):
+    t = F.concat(F.left("text", F.lit(300)), F.lit("\r\nsee www.a.b/c and t.me/x #tag @user , end\n---\n mail@host.org"))
+    return docs(spark, sf).select("doc_id", X.clean_import_caption(t).alias("caption"))
+
+
 @query(
     "x07_markup_cleaning",
     r"""with a as (select page_id, regexp_replace(regexp_replace(html, '(?i)<br[^>]*>', ' ', 'g'), '<[^>]*>', '', 'g') as t from pages),
@@ -169,6 +175,17 @@ def x26(spark, sf):
     return load(spark, sf, "customer").select("c_custkey", X.transliterate(F.concat(F.lit("Щука и Ёж — café "), "c_name")).alias("t"))
 
 
+@query("x21_russian_medium")
+def x21(spark, sf):
+    return load(spark, sf, "customer").select("c_custkey", X.strip_russian_medium(F.concat("c_name", F.lit("., Цветная фотография дома. На чёрно-белом снимке."))).alias("t"))
+
+
+@query("x27_budgeted_prefix")
+def x27(spark, sf):
+    parts = F.array("p_brand", "p_type", F.concat_ws(" ", "p_name", "p_name", "p_name"))
+    return load(spark, sf, "part").select("p_partkey", X.budgeted_prefix(30)(parts).alias("prefix"))
+
+
 @query("x28_folder_safe_name", r"select page_id, left(trim(regexp_replace(regexp_replace(url, '[\\/:*?\x22<>|]', '_', 'g'), '_{2,}', '_', 'g'), ' ._'), 60) as name from pages")
 def x28(spark, sf):
     return load(spark, sf, "pages").select("page_id", X.clean_name(F.col("url"), 60).alias("name"))
@@ -272,30 +289,38 @@ def x52(spark, sf):
     return load(spark, sf, "part").select("p_partkey", F.round(G.blend(F.col("p_size") / 10, F.col("p_retailprice") / 100, 0.7), 6).alias("score"))
 
 
-@query("x53_bucket_grid")
+GRID_SQL = """grid as (select t as tier, w, (t * t // w) // 16 * 16 as h from (values (512), (768), (1024)) x(t), (select unnest(range(256, 1040, 16)) as w) where w >= t // 2 // 16 * 16 and w < t + 16),
+  sizes as (select tier, w, h from grid union select tier, h, w from grid), fam(name, r, i) as (values ('9:16', 0.5647::double, 0), ('2:3', 0.6667, 1), ('4:5', 0.8028, 2), ('1:1', 1.0, 3), ('5:4', 1.2456, 4), ('3:2', 1.5, 5), ('16:9', 1.7708, 6)),
+  bucket as (select tier, name, w as bw, h as bh from (select *, row_number() over (partition by tier, name order by abs(w / h - r), w, h) as k from sizes, fam) where k = 1),
+  pic as (select p_partkey, (300 + p_size * 40)::bigint as w, (1100 - p_size * 9)::bigint as h from part),
+  named as (select * from (select pic.*, name as family, row_number() over (partition by p_partkey order by abs(w / h - r), i) as k from pic, fam) where k = 1),
+  cropped as (select n.*, tier, bw, bh, greatest(1, least(case when w / h > bw / bh then round_even(h * (bw / bh), 0) else w end, w))::bigint as cw, greatest(1, least(case when w / h > bw / bh then h else round_even(w / (bw / bh), 0) end, h))::bigint as ch from named n join bucket b on b.name = n.family),
+  tiered as (select * from (select *, row_number() over (partition by p_partkey order by tier desc) as j from cropped where cw * ch >= bw * bh / (1.15 * 1.15)) where j = 1)"""
+
+
+@query("x53_bucket_grid", f"with {GRID_SQL} select tier::int as resolution, w::int as width, h::int as height from sizes")
 def x53(spark, sf):
-    rows = [(r, w, h) for r in (512, 768, 1024) for w, h in G.bucket_grid(r)]
+    rows = [(r, w, h) for r in G.TIERS for w, h in G.bucket_grid(r)]
     return spark.createDataFrame(rows, "resolution int, width int, height int")
 
 
+def pictures(spark, sf):
+    return load(spark, sf, "part").select("p_partkey", (300 + F.col("p_size") * 40).cast("long").alias("w"), (1100 - F.col("p_size") * 9).cast("long").alias("h"))
+
+
 @query(
     "x54_crop_geometry",
-    """with s as (select p_partkey, 300 + p_size * 20 as w, 900 - p_size * 7 as h from part), c as (select *, case when w * 3 > h * 4 then round_even(h * 4 / 3.0, 0)::bigint else w end as cw, case when w * 3 > h * 4 then h else round_even(w * 3 / 4.0, 0)::bigint end as ch from s)
-    select p_partkey, cw::bigint as cw, ch::bigint as ch, floor((w - cw) / 2)::bigint as x, floor((h - ch) / 3)::bigint as y, round(1 - (cw * ch)::double / (w * h), 6) as cost,
-    case when sqrt(w * h) * 1.15 >= 1024 then 1024 when sqrt(w * h) * 1.15 >= 768 then 768 when sqrt(w * h) * 1.15 >= 512 then 512 end as tier from c""",
+    f"with {GRID_SQL} select p_partkey, tier::int as tier, bw::int as bw, bh::int as bh, cw, ch, floor((w - cw) / 2)::bigint as x, floor((h - ch) * case when bw / bh < 1 then 1.0::double / 3 else 0.5 end)::bigint as y, round(1 - (cw * ch)::double / (w * h), 6) as cost from tiered",
 )
 def x54(spark, sf):
-    s = load(spark, sf, "part").select("p_partkey", (300 + F.col("p_size") * 20).cast("long").alias("w"), (900 - F.col("p_size") * 7).cast("long").alias("h"))
-    cw, ch = G.crop_to(F.col("w"), F.col("h"), F.lit(4), F.lit(3))
-    s = s.withColumn("cw", cw).withColumn("ch", ch)
-    x, y = G.crop_box(F.col("w"), F.col("h"), F.col("cw"), F.col("ch"))
-    return s.select("p_partkey", "cw", "ch", x.alias("x"), y.alias("y"), F.round(G.crop_cost(F.col("w"), F.col("h"), F.col("cw"), F.col("ch")), 6).alias("cost"), G.fit_tier(F.col("w"), F.col("h"), [512, 768, 1024]).alias("tier"))
+    p = pictures(spark, sf).withColumn("t", G.assign_tier(F.col("w"), F.col("h"))).where(F.col("t").isNotNull()).select("p_partkey", "w", "h", "t.*")
+    x, y = G.crop_box(F.col("w"), F.col("h"), F.col("cw"), F.col("ch"), F.col("bw") / F.col("bh"))
+    return p.select("p_partkey", "tier", "bw", "bh", "cw", "ch", x.alias("x"), y.alias("y"), F.round(G.crop_cost(F.col("w"), F.col("h"), F.col("cw"), F.col("ch")), 6).alias("cost"))
 
 
-@query("x55_aspect_family", "with s as (select p_partkey, (300 + p_size * 20) / 600.0 as r from part), f as (select p_partkey, f, row_number() over (partition by p_partkey order by abs(ln(r) - ln(f)), f) as k from s, (values (0.5::double), (0.75), (1.0), (1.333), (1.777)) t(f)) select p_partkey, f as family from f where k = 1")
+@query("x55_aspect_family", f"with {GRID_SQL} select p_partkey, family from named")
 def x55(spark, sf):
-    r = (300 + F.col("p_size") * 20) / 600.0
-    return load(spark, sf, "part").select("p_partkey", G.nearest_family(r, [0.5, 0.75, 1.0, 1.333, 1.777]).alias("family"))
+    return pictures(spark, sf).select("p_partkey", G.nearest_family(F.col("w") / F.col("h")).alias("family"))
 
 
 @query("x56_area_limit", "with s as (select p_partkey, 300 + p_size * 20 as w, 900 as h from part) select p_partkey, case when w * h <= 500000 then w else floor(w * sqrt(500000.0 / (w * h))) end::bigint as w, case when w * h <= 500000 then h else floor(h * sqrt(500000.0 / (w * h))) end::bigint as h from s")

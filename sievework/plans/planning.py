@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sievework.functions import geometry as G
 from sievework.operators import planning as P
 from sievework.operators import ranking as R
+from sievework.plans.captions import GRID_SQL, pictures
 from sievework.plans.registry import load, query
 
 
@@ -53,12 +54,12 @@ def c05(spark, sf):
 
 @query(
     "c06_two_phase_build",
-    """with g as (select p_partkey, 300 + p_size * 20 as w, 900 as h, p_retailprice as s, p_name from part), k as (select *, case when sqrt(w * h) * 1.15 >= 1024 then 1024 when sqrt(w * h) * 1.15 >= 768 then 768 when sqrt(w * h) * 1.15 >= 512 then 512 end as tier from g where s >= 950)
-    select p_partkey, tier, case when row_number() over (partition by tier, lower(p_name) order by p_partkey) = 1 then p_name else p_name || '-' || row_number() over (partition by tier, lower(p_name) order by p_partkey) end as name from k where tier is not null""",
+    f"""with {GRID_SQL}, k as (select p_partkey, tier, p_name from tiered join part using (p_partkey) where p_retailprice >= 950)
+    select p_partkey, tier::int as tier, case when row_number() over (partition by tier, lower(p_name) order by p_partkey) = 1 then p_name else p_name || '-' || row_number() over (partition by tier, lower(p_name) order by p_partkey) end as name from k""",
 )
 def c06(spark, sf):
-    w, h = (300 + F.col("p_size") * 20).cast("long"), F.lit(900).cast("long")
-    k = load(spark, sf, "part").where("p_retailprice >= 950").withColumn("tier", G.fit_tier(w, h, [512, 768, 1024])).where(F.col("tier").isNotNull())
+    p = load(spark, sf, "part").where("p_retailprice >= 950").join(pictures(spark, sf), "p_partkey")
+    k = p.withColumn("tier", G.assign_tier(F.col("w"), F.col("h"))["tier"]).where(F.col("tier").isNotNull())
     return R.collision_names(k, "tier", "p_name", "p_partkey").select("p_partkey", "tier", "name")
 
 

@@ -150,10 +150,24 @@ def test_text_functions(spark):
     assert [r.n for r in spark.createDataFrame([("img10",), ("img2",), ("Img1",)], "n string").orderBy(X.natural_key(F.col("n"))).collect()] == ["Img1", "img2", "img10"]
 
 
-def test_bucket_grid_properties():
-    for r in (512, 768, 1024):
-        grid = G.bucket_grid(r)
-        assert (r, r) in grid and all((h, w) in grid and w % 16 == h % 16 == 0 and w * h <= r * r for w, h in grid)
+def test_bucket_grid_and_tiers(spark):
+    assert [len(G.bucket_grid(r)) for r in (1024, 768, 512)] == [65, 49, 33]
+    assert (1184, 880) in G.bucket_grid(1024) and (1168, 880) not in G.bucket_grid(1024)
+    sizes = spark.createDataFrame([(2400, 600), (640, 480), (400, 300)], "w long, h long")
+    got = [r.t for r in sizes.select(G.assign_tier(F.col("w"), F.col("h")).alias("t")).collect()]
+    assert (got[0].tier, got[0].bw, got[0].bh) == (768, 1024, 576)
+    assert (got[1].tier, got[1].bw, got[1].bh) == (512, 560, 464)
+    assert got[2] is None
+
+
+def test_captions_by_hand(spark):
+    t = lambda c, s: one(spark, c(F.col("s")), s=s)
+    assert t(X.clean_import_caption, "A hill , see www.a.b/c #tag\r\n---\n@user\nmail a@b") == "A hill, see\nmail a@b"
+    assert t(X.strip_russian_medium, "Text., Цветная фотография. Это чёрно-белый снимок, цветной") == "Text., Фотография. Это снимок,"
+    assert t(X.strip_russian_medium, "Цветная no tail") == "Цветная no tail"
+    p = X.budgeted_prefix(20)
+    assert one(spark, p(F.col("s")), s=["root", "middle name", "deepest folder"]) == "root__middle_n"
+    assert one(spark, p(F.col("s")), s=["root", "sub"]) == "root__sub"
 
 
 def test_tables(spark):
