@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sievework.llm.common import ensure_checkpoint_dir, stored, table, text_or_empty
 from sievework.operators.graph import connected_components
@@ -204,156 +205,232 @@ def op9_simhash_components(spark, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-# Similarity of word shingles. A distance of 3 in 64 bits is far closer than a similarity of 0.8, whose pairs differ in about ten bits, too
-# many for 64-bit blocks. So the same scheme runs on wider fingerprints: blocks of one whose bits come from the distinct words,
-# which near copies share most of, bring candidates together, and the distance of one of the shingles decides.
+# Similarity of word shingles, exact. Every pair of sets with a Jaccard similarity of at least t shares an element among the first
+# n - ceil(t * n) + 1 of either, in any one order of all elements (prefix filter): whatever was added, cut or moved and however many
+# rows there are. Rows meet on these elements only, elements common in a sample come last, and each candidate is decided on the sets.
 
-WORDS = 16
 NEAR = 0.8
-#: Standard deviations of the measured distance that are allowed above its mean at the asked similarity: misses one pair in twenty there.
-SLACK = 1.65
-RECALL = 0.998
-LEAST_BIT = 0.925
-#: Rows of one key that a task holds; beyond them it links what it has and goes on with one row of each component.
+#: Documents whose shingles are counted to put the common ones last, and how many of these are told apart. They change time, not results.
+SAMPLE = 20_000
+COMMON = 100_000
+#: Times that rows which are still apart are compared with a neighbour in a mixed order before all are. They change time, not results.
+TURNS = 2
+#: Pairs sent at once.
 HELD = 65_536
+NEAR_PAIRS = "a long, b long"
 
 
-def block_plan(rows: int) -> tuple[int, int]:
-    """Bits of a block and number of blocks: a few more bits than the rows need, and blocks until near pairs meet in one.
+def shingle_set(text: str | None, shingle: int, seed: int = SEED) -> np.ndarray:
+    """The sorted distinct hashes of a text's word shingles; fewer words than a shingle make one."""
+    import xxhash
 
-    Near pairs agree in a bit with at least ``LEAST_BIT``; at least ``RECALL`` of them share a block.
-    """
-    bits = min(32, max(16, int(rows).bit_length() + 2))
-    return bits, int(np.ceil(np.log(1 - RECALL) / np.log(1 - LEAST_BIT**bits)))
+    h = xxhash.xxh64_intdigest
+    ws = (text or "").encode().lower().split()
+    n = len(ws)
+    if n <= shingle:
+        return np.array([h(b" ".join(ws), seed)], dtype=np.uint64)
+    ends = list(itertools.accumulate(map(len, ws), lambda a, x: a + x + 1))
+    joined = b" ".join(ws)
+    starts = [0, *[e + 1 for e in ends[: n - shingle]]]
+    return np.array(sorted({h(joined[a:b], seed) for a, b in zip(starts, ends[shingle - 1 :], strict=True)}), dtype=np.uint64)
 
 
-def _spread(hashes: np.ndarray, words: int) -> np.ndarray:
-    """``words`` further 64-bit hashes of each hash."""
-    x = hashes[:, None] + np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def prefix_of(own: np.ndarray, common: np.ndarray, place: np.ndarray, similarity: float) -> np.ndarray:
+    """The elements of a set that a similar set cannot all miss; ``common`` (sorted) come last, by ``place``."""
+    late = np.zeros(len(own), dtype=np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+        late = np.where(common[at] == own, place[at], 0)
+    keep = len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1
+    return own[np.lexsort((own, late))[:keep]]
 
 
-def _majority(hashes: np.ndarray, words: int) -> np.ndarray:
-    """Bits that over half of the hashes' ``words * 64`` bits have."""
-    ones = np.zeros(words * BITS, dtype=np.int64)
-    for lo in range(0, len(hashes), 8192):
-        wide = _spread(hashes[lo : lo + 8192], words)
-        ones += np.unpackbits(wide.view(np.uint8).reshape(len(wide), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
-    return np.packbits(2 * ones > len(hashes), bitorder="little")
+def needed(n, m, similarity: float):
+    """Common elements of two sets of ``n`` and ``m`` that are just similar."""
+    return np.ceil(similarity / (1 + similarity) * (n + m) - 1e-9)
 
 
-def wide_fingerprints(text: str | None, shingle: int, words: int, block_words: int, seed: int = SEED) -> tuple[bytes, bytes]:
-    """The shingles' fingerprint of ``words * 64`` bits and the distinct words' of ``block_words * 64``."""
-    import xxhash
+def cross_pairs(node: np.ndarray, comp: np.ndarray, n: np.ndarray, pos: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of a key's rows from different components that can still be similar, at most about ``HELD`` at once.
 
-    h = xxhash.xxh64_intdigest
-    ws = (text or "").encode().lower().split()
-    n = len(ws)
-    if n <= shingle:
-        own = np.array([h(b" ".join(ws), seed)], dtype=np.uint64)
-    else:
-        ends = list(itertools.accumulate(map(len, ws), lambda a, x: a + x + 1))
-        joined = b" ".join(ws)
-        starts = [0, *[e + 1 for e in ends[: n - shingle]]]
-        own = np.array([h(joined[a:b], seed) for a, b in zip(starts, ends[shingle - 1 :], strict=True)], dtype=np.uint64)
-    distinct = np.array([h(w, seed + 1) for w in set(ws) or {b""}], dtype=np.uint64)
-    return _majority(np.unique(own), words).tobytes(), _majority(distinct, block_words).tobytes()
-
-
-def link_wide(ids: np.ndarray, prints: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Links between rows of one bucket at most ``most`` bits apart, enough for its components, and a row of each component: a row is
-    compared with later ones that it is not yet joined to, so a group of near copies costs little more than one comparison a row."""
-    m = len(ids)
-    label, a, b = np.arange(m), [], []
-    for i in range(m - 1):
-        rest = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
-        if not len(rest):
-            if (label == label[0]).all():
-                break
-            continue
-        near = rest[np.bitwise_count(prints[rest] ^ prints[i]).sum(axis=1) <= most]
+    ``pos`` is the key's place in a row's set: where it is the first that both have, what follows it bounds the overlap.
+    """
+    _, inverse, counts = np.unique(comp, return_inverse=True, return_counts=True)
+    rank = np.argsort(np.argsort(counts, kind="stable"), kind="stable")[inverse]
+    order = np.argsort(rank, kind="stable")
+    node, n, left, rank = node[order], n[order], (n - pos)[order], rank[order]
+    stop = np.searchsorted(rank, rank, side="right")
+    a, b, size = [], [], 0
+    for i in range(int(np.searchsorted(rank, rank[-1]))):
+        j = stop[i]
+        near = np.flatnonzero(np.minimum(left[i], left[j:]) >= needed(n[i], n[j:], similarity)) + j
         if len(near):
-            a.extend([ids[i]] * len(near))
-            b.extend(ids[near])
-            label[np.isin(label, label[near])] = label[i]
-    return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64), np.unique(label)
+            a.append(np.full(len(near), node[i]))
+            b.append(node[near])
+            size += len(near)
+            if size >= HELD:
+                yield np.concatenate(a), np.concatenate(b)
+                a, b, size = [], [], 0
+    if size:
+        yield np.concatenate(a), np.concatenate(b)
 
 
-def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = NEAR, words: int = WORDS) -> DataFrame:
-    """``id, component_id`` of documents whose sets of word shingles are about ``similarity`` alike (Jaccard) or more, and chains of such.
+def _common_shingles(rows: DataFrame, total: int, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several documents of a sample have, sorted, and their places from the rarest on."""
+    share = max(1, total // SAMPLE)
 
-    The angle between two shingle sets of similarity J has the cosine 2J/(1+J); the distance limit is the number of bits expected
-    at ``similarity`` and ``SLACK`` standard deviations. With 1024 bits the deviation is about 0.02 in J, so of the pairs at 0.8 about
-    one in twenty is missed, at 0.83 one in five hundred, and of those at 0.7 about one in forty is linked. Rows that share an id are one
-    document; null text is empty. Copies collapse before anything is linked.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            for lo in range(0, rb.num_rows, 512):
+                sets = [shingle_set(t.as_py(), shingle).view(np.int64) for t in rb.column(0).slice(lo, 512)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets))], names=["h"])
+
+    some = rows.where(F.pmod(F.xxhash64(F.lit("near"), "id"), F.lit(share)) == 0).select("text")
+    counts = some.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 3")
+    got = counts.orderBy(F.desc("n"), "h").limit(COMMON).collect()
+    h = np.array([r["h"] for r in got], dtype=np.int64).view(np.uint64)
+    place = np.arange(len(h), 0, -1, dtype=np.int64)
+    order = np.argsort(h)
+    return h[order], place[order]
+
+
+def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = NEAR) -> DataFrame:
+    """``id, component_id`` of documents whose sets of word shingles are ``similarity`` alike (Jaccard) or more, and chains of such.
+
+    Exact: no pair at ``similarity`` is left out and none below it is linked. Equal sets collapse first. Then rows of a key are compared
+    with the neighbour in size that they meet most, and ``TURNS`` times in a mixed order, which joins most large groups at a few comparisons a row; then all rows of a key that are still apart are
+    compared with each other. Only pairs of numbers are made for that, and the sets of candidates are made from their texts to decide them. Rows that
+    share an id are one document; null text is empty.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
-    bits, count = block_plan(docs.count())
-    block_words = -(-bits * count // BITS)
-    angle = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    most = int(words * BITS * angle + SLACK * np.sqrt(words * BITS * angle * (1 - angle)))
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
+    total = rows.count()
+    common, place = _common_shingles(rows, total, shingle)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb in batches:
-            got = [wide_fingerprints(t.as_py(), shingle, words, block_words) for t in rb.column(1)]
-            yield pa.RecordBatch.from_arrays([rb.column(0), pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.binary())], names=["id", "print", "blocks"])
+        import xxhash
 
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text")).mapInArrow(run, "id long, print binary, blocks binary")
-    prints = stored(rows, "wide-prints")
-    distinct = stored(prints.groupBy("print", "blocks").agg(F.min("id").alias("least")), "wide-distinct")
+        for rb in batches:
+            for lo in range(0, rb.num_rows, 512):
+                part = rb.slice(lo, 512)
+                sets = [shingle_set(t.as_py(), shingle) for t in part.column(1)]
+                node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED + 1) for s in sets], dtype=np.uint64).view(np.int64)
+                first = [prefix_of(s, common, place, similarity).tobytes() for s in sets]
+                cols = [part.column(0), pa.array(node), pa.array([len(s) for s in sets], pa.int32()), pa.array(first, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["id", "node", "n", "first"])
+
+    prints = stored(rows.mapInArrow(run, "id long, node long, n int, first binary"), "near-sets")
+    nodes = stored(prints.groupBy("node").agg(F.min("id").alias("least")), "near-nodes")
+    alone = prints.join(nodes.select("node", F.col("least").alias("id")), ["node", "id"]).dropDuplicates(["node", "id"])
+    marks = min(1 << 27, max(1 << 16, 16 * total))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weigh = (1 << np.arange(bits, dtype=np.int64))
         for rb in batches:
-            if not rb.num_rows:
-                continue
-            for lo in range(0, rb.num_rows, 4096):
-                part = rb.slice(lo, 4096)
-                raw = np.frombuffer(b"".join(part.column("blocks").to_pylist()), dtype=np.uint8).reshape(part.num_rows, -1)
-                flat = np.unpackbits(raw, axis=1, bitorder="little", count=bits * count).reshape(part.num_rows, count, bits)
-                key = (flat @ weigh) + (np.arange(count, dtype=np.int64) << 40)
-                at = pa.array(np.repeat(np.arange(part.num_rows), count))
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), part.column("least").take(at), part.column("print").take(at)], names=["key", "id", "print"])
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for lo in range(0, rb.num_rows, 512):
+                part = rb.slice(lo, 512)
+                keys = [np.frombuffer(f.as_py(), dtype=np.int64) for f in part.column(2)]
+                sizes = [len(k) for k in keys]
+                at = pa.array(np.repeat(np.arange(part.num_rows), sizes))
+                pos = pa.array(np.concatenate([np.arange(s) for s in sizes]), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), part.column(0).take(at), part.column(1).take(at), pos], names=["key", "node", "n", "pos"])
+
+    met = alone.select("node", "n", "first").mapInArrow(cut, "key long, node long, n int, pos int")
+    by_size = Window.partitionBy("key").orderBy("n", "node")
+    before = [F.lag(c).over(by_size).alias(f"{c}_before") for c in ("node", "n", "pos")]
+    met = met.select("*", *before, F.lead("node").over(by_size).alias("after")).where("node_before is not null or after is not null").drop("after")
+    met = stored(met, "near-met")
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            keep = []
+            for x, y in zip(rb.column(2), rb.column(3), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([rb.column(0).filter(keep), rb.column(1).filter(keep)], names=["a", "b"])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(marks, dtype=bool)
+        for rb in batches:
+            seen[rb.column(0).to_numpy(zero_copy_only=False)] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(seen).tobytes()], pa.binary())], names=["seen"])
+
+    def fetched(asked: DataFrame) -> DataFrame:
+        """``node, own``: the sets of these nodes and of few others, from the texts; only rows whose hashed id is marked are read on."""
+        spot = lambda c: F.pmod(F.xxhash64(F.lit("spot"), c), F.lit(marks))
+        parts = asked.join(nodes, "node").select(spot("least").alias("spot")).coalesce(4).mapInArrow(mark, "seen binary").collect()
+        seen = np.zeros(-(-marks // 8), dtype=np.uint8)
+        for part in parts:
+            seen |= np.frombuffer(part["seen"], dtype=np.uint8)
+
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            import xxhash
+
+            for rb in batches:
+                at = rb.column(1).to_numpy(zero_copy_only=False)
+                texts = rb.column(0).filter(pa.array((seen[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1))
+                for lo in range(0, len(texts), 512):
+                    own = [shingle_set(t.as_py(), shingle).tobytes() for t in texts[lo : lo + 512]]
+                    node = np.array([xxhash.xxh64_intdigest(s, SEED + 1) for s in own], dtype=np.uint64).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(own, pa.binary())], names=["node", "own"])
+
+        return rows.select("text", spot("id").alias("spot")).mapInArrow(read, "node long, own binary").join(asked, "node", "left_semi")
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{name}-pairs")
+        sets = fetched(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        x, y = sets.select(F.col("node").alias("a"), F.col("own").alias("x")), sets.select(F.col("node").alias("b"), F.col("own").alias("y"))
+        return stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(decide, NEAR_PAIRS), f"{name}-links")
+
+    def neighbours(rows: DataFrame) -> DataFrame:
+        """For each node the one that stands before it in most keys, where the two can still be similar."""
+        overlap = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("n_before")) - 1e-9)
+        close = rows.where(F.least(F.col("n") - F.col("pos"), F.col("n_before") - F.col("pos_before")) >= overlap)
+        often = close.groupBy("node", "node_before").agg(F.count("*").alias("keys")).groupBy("node").agg(F.max_by("node_before", F.struct("keys", "node_before")).alias("a"))
+        return often.select("a", F.col("node").alias("b"))
+
+    def still_apart(joined: DataFrame) -> DataFrame:
+        """Rows of the keys whose rows are not all joined yet."""
+        named = met.select("key", "node", "n", "pos").join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"), "n", "pos")
+        all_of = Window.partitionBy("key")
+        return named.withColumn("least", F.min("comp").over(all_of)).withColumn("most", F.max("comp").over(all_of)).where("least <> most").drop("least", "most")
+
+    links = linked(neighbours(met), "near-first")
+    joined = stored(connected_components(links), "near-joined")
+    for turn in range(TURNS):
+        mixed = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(turn), "node"), "node")
+        rows_apart = still_apart(joined).select("*", *[F.lag(c).over(mixed).alias(f"{c}_before") for c in ("node", "comp", "n", "pos")])
+        links = links.unionByName(linked(neighbours(rows_apart.where("comp <> comp_before")), "near-turn"))
+        joined = stored(connected_components(links), "near-joined")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held = None, []
 
         def emit():
-            nonlocal held
-            ids, wide = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-            a, b, one = link_wide(ids, wide, most)
-            held = [(ids[one], wide[one])]
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            if sum(len(h[0]) for h in held) > 1:
+                cols = [np.concatenate([h[i] for h in held]) for i in range(4)]
+                if (cols[1] != cols[1][0]).any():
+                    for a, b in cross_pairs(*cols, similarity):
+                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for rb in batches:
             if not rb.num_rows:
                 continue
-            key, ids = rb.column(0).to_numpy(zero_copy_only=False), rb.column(1).to_numpy(zero_copy_only=False)
-            wide = np.frombuffer(b"".join(rb.column(2).to_pylist()), dtype=np.uint64).reshape(rb.num_rows, words)
+            key, *cols = (rb.column(i).to_numpy(zero_copy_only=False) for i in range(5))
             cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
-            runs = np.diff(cuts)
-            for i in np.union1d(np.flatnonzero(runs > 1), [0, len(runs) - 1]):
-                lo, hi = cuts[i], cuts[i + 1]
-                if held and held_key != key[lo]:
-                    if sum(len(h[0]) for h in held) > 1:
-                        yield emit()
-                    held = []
-                held_key = key[lo]
-                held.append((ids[lo:hi], wide[lo:hi]))
-                if hi == len(key) and sum(len(h[0]) for h in held) > HELD:
-                    yield emit()
-                if hi < len(key):
-                    if sum(len(h[0]) for h in held) > 1:
-                        yield emit()
-                    held = []
-        if held and sum(len(h[0]) for h in held) > 1:
-            yield emit()
-
-    met = distinct.mapInArrow(cut, "key long, id long, print binary").repartition("key").sortWithinPartitions("key")
-    links = met.mapInArrow(link, "a long, b long")
-    roots = connected_components(links).withColumnRenamed("node", "least")
-    classes = distinct.join(roots, "least", "left").select("print", "blocks", F.coalesce("component", "least").alias("component_id"))
-    return prints.join(classes, ["print", "blocks"]).groupBy("id").agg(F.min("component_id").alias("component_id"))
+            for lo, hi in itertools.pairwise(cuts):
+                if held_key != key[lo]:
+                    yield from emit()
+                    held_key, held = key[lo], []
+                held.append([c[lo:hi] for c in cols])
+        yield from emit()
+
+    more = linked(still_apart(joined).repartition("key").sortWithinPartitions("key").mapInArrow(compare, NEAR_PAIRS), "near-rest")
+    same = prints.groupBy("id").agg(F.array_sort(F.collect_set("node")).alias("all")).where("size(all) > 1").select(F.col("all")[0].alias("a"), F.explode("all").alias("b"))
+    roots = connected_components(links.unionByName(more).unionByName(same))
+    classes = stored(nodes.join(roots, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component")), "near-classes")
+    ids = classes.groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = classes.join(ids, "component").select("node", "component_id")
+    return prints.select("id", "node").join(classes, "node").groupBy("id").agg(F.min("component_id").alias("component_id"))

@@ -470,6 +470,44 @@ def test_similar_components_finds_near_copies_and_leaves_the_rest(spark, monkeyp
     assert all(got[10 * g + 9] == 10 * g + 9 for g in range(40))
 
 
+def shingle_likeness(a, b, k=5):
+    x, y = ({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} for w in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+def similar_by_brute_force(texts):
+    root = {i: i for i in texts}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for i in texts:
+        for j in texts:
+            if i < j and shingle_likeness(texts[i], texts[j]) >= 0.8:
+                u, v = sorted((find(i), find(j)))
+                root[v] = u
+    return {i: find(i) for i in texts}
+
+
+def similar(spark, texts):
+    got = simhash.similar_components(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    return {r.id: r.component_id for r in got.collect()}
+
+
+def test_added_and_cut_copies_just_above_the_likeness_are_linked(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randrange(2, 9)))
+    texts = {}
+    for g in range(30):
+        ws = [word() for _ in range(204)]
+        more = [word() for _ in range(48)]
+        texts |= {10 * g: " ".join(ws), 10 * g + 1 + g % 3: " ".join([ws + more, more + ws, ws[:166]][g % 3])}
+        assert 0.8 <= shingle_likeness(*[texts[i] for i in (10 * g, 10 * g + 1 + g % 3)]) < 0.82
+    assert similar(spark, texts) == {i: i - i % 10 for i in texts}
+
+
 # SentencePiece
 
 
