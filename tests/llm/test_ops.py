@@ -508,6 +508,29 @@ def test_added_and_cut_copies_just_above_the_likeness_are_linked(spark):
     assert similar(spark, texts) == {i: i - i % 10 for i in texts}
 
 
+def test_a_key_shared_by_all_loses_no_member(spark, monkeypatch):
+    """A chain whose ends are far apart, all on one line of words, in any order of ids and with few pairs sent at once."""
+    monkeypatch.setattr(simhash, "HELD", 2)
+    rng = random.Random(12)
+    line = [f"w{i}" for i in range(400)]
+    steps = list(range(0, 200, 6))
+    rng.shuffle(steps)
+    texts = {i: " ".join(line[s : s + 200]) for i, s in enumerate(steps)}
+    texts |= {100 + i: " ".join(line[190:210] + [f"x{i}-{j}" for j in range(100)]) for i in range(20)}
+    want = similar_by_brute_force(texts)
+    assert len({want[i] for i in range(len(steps))}) == 1 and want[119] == 119
+    assert similar(spark, texts) == want
+
+
+def test_all_rows_of_a_key_that_are_apart_are_paired():
+    rng = np.random.default_rng(3)
+    node, comp = np.arange(60), rng.integers(0, 7, 60)
+    n, pos = rng.integers(90, 110, 60), rng.integers(0, 20, 60)
+    got = {tuple(sorted(p)) for a, b in simhash.cross_pairs(node, comp, n, pos, 0.8) for p in zip(a.tolist(), b.tolist(), strict=True)}
+    want = {(i, j) for i in range(60) for j in range(i + 1, 60) if comp[i] != comp[j] and 9 * min(n[i] - pos[i], n[j] - pos[j]) >= 4 * (n[i] + n[j])}
+    assert got == want and len(want) > 100
+
+
 # SentencePiece
 
 
