@@ -531,6 +531,21 @@ def test_all_rows_of_a_key_that_are_apart_are_paired():
     assert got == want and len(want) > 100
 
 
+def test_likeness_decides_exactly(spark):
+    """Pairs from 0.70 to 0.90: linked from 0.8 on, left alone below, at exactly 0.8 linked."""
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randrange(3, 9)))
+    texts = {}
+    for g in range(40):
+        ws = [word() for _ in range(164)]
+        texts |= {10 * g: " ".join(ws), 10 * g + 1: " ".join(ws[: 116 + g] if g % 2 else ws + [word() for _ in range(20 + g)])}
+    ws = [word() for _ in range(164)]
+    texts |= {1000: " ".join(ws), 1001: " ".join(ws[:132])}
+    like = [shingle_likeness(texts[i], texts[i + 1]) for i in texts if i % 10 == 0]
+    assert like[-1] == 0.8 and sum(0.7 <= x < 0.8 for x in like) > 10 and sum(x >= 0.8 for x in like) > 10
+    assert similar(spark, texts) == similar_by_brute_force(texts)
+
+
 # SentencePiece
 
 
