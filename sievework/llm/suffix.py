@@ -87,7 +87,7 @@ class Block:
         self.sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(_byte_values()[self.data] * up[:n], dtype=np.uint64, out=self.sums[1:])
 
-    def keys(self, at: np.ndarray, length: int) -> np.ndarray:
+    def keys(self, at: np.ndarray, length: int | np.ndarray) -> np.ndarray:
         h = (self.sums[at + length] - self.sums[at]) * self.down[at]
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
@@ -116,7 +116,24 @@ class Block:
         np.add.at(change, self.ends[room] - length + 1, -1)
         return np.cumsum(change[:n]) > 0
 
-    def spread(self, at: np.ndarray, back: int, ahead: int) -> np.ndarray:
+    def short_windows(self, words: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and sizes of all runs of ``words`` whole words inside a document that are under ``length`` bytes."""
+        none = np.zeros(0, dtype=np.int64)
+        if not len(self.data):
+            return none, none
+        black = ~((self.data == 32) | ((self.data >= 9) & (self.data <= 13)))
+        border = np.zeros(len(self.data) + 1, dtype=bool)
+        border[self.starts] = border[self.ends] = True
+        first = np.flatnonzero(black & (border[:-1] | ~np.concatenate([[False], black[:-1]])))
+        stop = np.flatnonzero(black & (border[1:] | ~np.concatenate([black[1:], [False]]))) + 1
+        if len(first) < words:
+            return none, none
+        at, size = first[: len(first) - words + 1], stop[words - 1 :] - first[: len(first) - words + 1]
+        doc = np.searchsorted(self.ends, at, side="right")
+        keep = (size < length) & (at + size <= self.ends[doc])
+        return at[keep], size[keep]
+
+    def spread(self, at: np.ndarray, back: int, ahead: int | np.ndarray) -> np.ndarray:
         """Bytes from ``back`` before to ``ahead`` after each position, within the position's document."""
         n = len(self.data)
         change = np.zeros(n + 1, dtype=np.int32)
@@ -149,6 +166,7 @@ class Method:
     length: int
     order: int
     bucket_bits: int
+    words: int | None = None
 
     @property
     def period(self) -> int:
@@ -186,7 +204,11 @@ class Method:
 
         1: prefixes of cover suffixes (flag: twice in the block). 2: full strings at cover suffixes whose rank is shared, and at
         documents' last places. 3: ranks again (flag: a border near one is open). 4: full strings at all places near open ranks.
+        5: runs of ``words`` words that are shorter than ``length``, which longer strings do not cover.
         """
+        if step == 5:
+            strings, _, m = _counted(b.keys(*b.short_windows(self.words, self.length)), 64)
+            return strings, m > 1
         period, residues = difference_cover(self.order)
         cover = b.cover(period, residues, self.prefix)
         ranks, inverse, n = _counted(b.keys(cover, self.prefix), self.key_bits(1))
@@ -225,7 +247,13 @@ class Method:
         if step == 4:
             return strings, m > 1
         found = zone[self.replies(replies[3], len(strings))[back]]
-        return covered | b.spread(found, 0, self.length), None
+        covered |= b.spread(found, 0, self.length)
+        if self.words:
+            at, size = b.short_windows(self.words, self.length)
+            strings, back, _ = _counted(b.keys(at, size), 64)
+            again = self.replies(replies[4], len(strings))[back]
+            covered |= b.spread(at[again], 0, size[again])
+        return covered, None
 
 
 def _settle(table_: pa.Table, width: int, any_flag: bool) -> pa.Table:
@@ -319,8 +347,9 @@ def _runs(mask: np.ndarray) -> np.ndarray:
 RESULT = "n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept binary"
 
 
-def find_repeats(docs: DataFrame, length: int = LENGTH, order: int = ORDER, carry: list[str] | None = None, text_col: str = "text", whole_chars: bool = False) -> DataFrame:
-    """Cuts every byte that a ``length``-byte string covers which also starts anywhere else, in any document.
+def find_repeats(docs: DataFrame, length: int = LENGTH, order: int = ORDER, carry: list[str] | None = None, text_col: str = "text", whole_chars: bool = False, words: int | None = None) -> DataFrame:
+    """Cuts every byte that a ``length``-byte string covers which also starts anywhere else, in any document; with ``words`` also what
+    a run of so many whole words (between ASCII white space) covers that is found elsewhere, however short.
 
     Returns ``rest`` (the ``carry`` columns), ``n_bytes``, ``n_removed``, ``spans`` (maximal removed runs) and ``kept`` (the remaining
     bytes). With ``whole_chars`` a run keeps the bytes of a character that it only touches. A null text is empty; a document shorter
@@ -336,17 +365,17 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, order: int = ORDER, carr
     total = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     keys = total * (order + 1) / (order * order + order + 1) * 5
     bits = max(int(2 * parts).bit_length(), int(keys // BUCKET_BYTES + 1).bit_length())
-    method = Method(length, order, min(bits, 24))
+    method = Method(length, order, min(bits, 24), words)
     replies: list[DataFrame] = []
-    for step in (1, 2, 3, 4):
+    for step in (1, 2, 3, 4, 5) if words else (1, 2, 3, 4):
         replies.append(_exchange(blocks, replies, method, step))
-    rest = dict(blocks.dtypes)["rest"]
+    rest, count = dict(blocks.dtypes)["rest"], len(replies)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
             for i in range(rb.num_rows):
                 b = Block(rb.column("blob")[i].as_py(), rb.column("sizes")[i].as_py())
-                mask, _ = method.ask(b, [rb.column(f"reply{k}")[i].as_py() for k in range(4)], 5)
+                mask, _ = method.ask(b, [rb.column(f"reply{k}")[i].as_py() for k in range(count)], 6)
                 n, gone, spans, kept = [], [], [], []
                 for s, e in zip(b.starts.tolist(), b.ends.tolist(), strict=True):
                     own = mask[s:e]
