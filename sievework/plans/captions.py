@@ -30,7 +30,7 @@ def x05(spark, sf):
 
 @query("x06_import_caption")
 def x06(spark, sf):
-    t = F.concat(F.left("text", F.lit(300)), F.lit("\r\nsee www.a.b/c and t.me/x #tag @user , end\n---\n mail@host.org"))
+    t = F.concat("text", F.lit("\r\nsee www.a.b/c and t.me/x #tag @user , end\n---\n mail@host.org"))
     return docs(spark, sf).select("doc_id", X.clean_import_caption(t).alias("caption"))
 
 
@@ -103,12 +103,12 @@ def x16(spark, sf):
 
 @query("x17_cut_before_phrase")
 def x17(spark, sf):
-    return docs(spark, sf).select("doc_id", X.cut_before_sentence(F.concat(F.left("text", F.lit(400)), F.lit(". This has a watermark here. More.")), "watermark").alias("t"))
+    return docs(spark, sf).select("doc_id", X.cut_before_sentence(F.concat("text", F.lit(". This has a watermark here. More.")), "watermark").alias("t"))
 
 
 @query("x18_cut_before_script")
 def x18(spark, sf):
-    return docs(spark, sf).select("doc_id", X.cut_before_script(F.concat(F.lit("First one. "), F.left("text", F.lit(200)), F.lit(". Это конец. After."))).alias("t"))
+    return docs(spark, sf).select("doc_id", X.cut_before_script(F.concat(F.lit("First one. "), "text", F.lit(". Это конец. After."))).alias("t"))
 
 
 @query(

@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pandas as pd
 import pytest
@@ -204,3 +205,34 @@ def test_result_does_not_depend_on_partitions(spark):
         got.append(sorted(map(tuple, q(spark, SMALL).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert got[0] == got[1]
+
+
+@pytest.mark.parametrize("name, column", [("x06_import_caption", "caption"), ("x17_cut_before_phrase", "t"), ("x18_cut_before_script", "t")])
+def test_caption_queries_take_whole_texts(spark, name, column):
+    from sievework.plans import registry
+
+    texts = {r.doc_id: r.text for r in registry.load(spark, SMALL, "documents").collect() if r.text}
+    got = {r.doc_id: r[column] or "" for r in registry.queries()[name](spark, SMALL).collect()}
+    long = {i: " ".join(t.split()[-3:]) for i, t in texts.items() if len(t) > 600 and re.fullmatch(r"[A-Za-z ]+", " ".join(t.split()[-3:]).rstrip("."))}
+    kept = sum(" ".join(last.rstrip(".").split()) in " ".join(got[i].split()) for i, last in long.items())
+    assert len(long) > 50 and kept > 0.9 * len(long)
+
+
+@pytest.mark.parametrize("name, cut", [("x05_social_caption", 300), ("x08_drop_segments", 500), ("x32_model_reply", 50)])
+def test_caption_functions_equal_sql_on_whole_texts(spark, name, cut):
+    """The registered SQL of these three takes a prefix; here both sides take whole texts."""
+    from compare import assert_same
+
+    from sievework.plans import registry
+
+    docs = registry.load(spark, SMALL, "documents")
+    if name == "x05_social_caption":
+        df = docs.select("doc_id", X.clean_social_caption(F.concat(F.lit("[club7|Some Group] "), "text", F.lit(" #tag @user https://a.b/c ."))).alias("caption"))
+    elif name == "x08_drop_segments":
+        df = docs.select("doc_id", X.drop_segments(F.col("text"), r"\. ", "the|http").alias("kept"))
+    else:
+        reply = X.strip_thinking(F.concat(F.lit("<think>a\nb</think> "), "text", F.lit(" <|end|>")))
+        df = registry.load(spark, SMALL, "conversations").select("conv_id", "turn", reply.alias("reply"), X.fill_template("Role: {role} #{turn}", {"role": F.col("role"), "turn": F.col("turn")}).alias("prompt"))
+    sql = registry.oracle_sql()[name]
+    assert f"left(text, {cut})" in sql
+    assert_same(df, SMALL, sql.replace(f"left(text, {cut})", "text"))
