@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -154,19 +154,18 @@ def group_ids(edges: DataFrame, nodes: DataFrame | None = None, ident: str = "id
     return c if nodes is None else nodes.select(ident).join(c, ident, "left").select(ident, F.coalesce("component", ident).alias("component"))
 
 
-def steps_from(edges: DataFrame, starts: DataFrame, most: int = 50) -> DataFrame:
-    """``node, root, steps``: breadth-first distance from each start within its component, one join a step."""
+def steps_from(edges: DataFrame, starts: DataFrame) -> DataFrame:
+    """``node, root, steps``: breadth-first distance from each start within its component, one join a step until nothing new is reached."""
     ensure_checkpoint_dir(edges.sparkSession)
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct().checkpoint()
     seen = starts.select(F.col("node"), F.col("node").alias("root"), F.lit(0).alias("steps")).checkpoint()
     front = seen
-    for step in range(1, most + 1):
+    for step in itertools.count(1):
         reach = front.join(both, front.node == both.u).select(F.col("v").alias("node"), "root").distinct()
         front = reach.join(seen, ["node", "root"], "left_anti").withColumn("steps", F.lit(step)).checkpoint()
         if front.isEmpty():
             return seen
         seen = seen.unionByName(front).checkpoint()
-    return seen
 
 
 def against_base(queries: DataFrame, base: DataFrame, ident: str, vector: str, sure: float, candidate: float, tested: DataFrame | None = None) -> DataFrame:

@@ -118,6 +118,12 @@ def test_components_and_steps(spark):
     assert graph.connected_components(df.where("false")).count() == 0
 
 
+def test_steps_reach_the_end_of_a_long_chain(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(54)], "a long, b long").coalesce(1)
+    steps = similarity.steps_from(path, spark.createDataFrame([(0,)], "node long"))
+    assert {r.node: r.steps for r in steps.collect()} == {i: i for i in range(55)}
+
+
 def test_neighbours_do_not_depend_on_blocks(spark):
     v = spark.read.parquet(f"{SMALL}/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding")
     a, b = (similarity.cosine_neighbours(v, v, "id", "embedding", 4, blocks=n).collect() for n in (1, 7))
