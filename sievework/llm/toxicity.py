@@ -201,8 +201,12 @@ def _fit_field(windows: np.ndarray, states: np.ndarray, mask: np.ndarray, size:
     return theta, bias, step
 
 
-def fit(texts: list[str], labels: list[int]) -> ToxicModel:
-    """A model from labelled texts. Without toxic or clean rows every score is that of a text without hits."""
+def fit(texts: list[str], labels: list[int], totals: dict[int, int] | None = None) -> ToxicModel:
+    """A model from labelled texts. Without toxic or clean rows every score is that of a text without hits.
+
+    Windows stand on featured tokens anywhere in the texts, ``WINDOWS`` of them picked by a hash. Where the texts are a sample of each
+    class, ``totals`` are the rows of all: the calibration weights its rows by them, so scores do not depend on the sample's shares.
+    """
     y = np.array(labels, dtype=np.int64)
     one: dict[str, str] = {}
     words = [[one.setdefault(w, w) for w in WORD.findall(lowered(t))] for t in texts]
@@ -213,17 +217,16 @@ def fit(texts: list[str], labels: list[int]) -> ToxicModel:
     def features(w: str) -> list[int]:
         return [number[f] for f in token_features(w) if f in number]
 
-    places = []
-    for i, ws in enumerate(words):
-        centres = [k for k, w in enumerate(ws) if features(w)][:32] or ([(i * 7919) % len(ws)] if ws else [])
-        places += [(i, c) for c in centres]
-    if not places:
+    centres = [np.array([k for k, w in enumerate(ws) if features(w)] or [(i * 7919) % len(ws)] if ws else [], dtype=np.int32) for i, ws in enumerate(words)]
+    place_text = np.repeat(np.arange(len(words)), [len(c) for c in centres])
+    place_at = np.concatenate([np.zeros(0, dtype=np.int32), *centres])
+    if not len(place_at):
         return ToxicModel({}, -4.0, ((0.0, 0.0), (0.0, 0.0)), (-4.0, 1.0, 0.0))
-    pick = np.argsort([(k * 2654435761) % (1 << 32) for k in range(len(places))])[:WINDOWS]
+    pick = np.argsort((np.arange(len(place_at)) * 2654435761) % (1 << 32))[:WINDOWS]
     win = np.zeros((len(pick), span, width), dtype=np.int64)
     state, mask = np.zeros((len(pick), span), dtype=np.int64), np.zeros((len(pick), span), dtype=bool)
     for row, k in enumerate(pick):
-        i, c = places[k]
+        i, c = int(place_text[k]), int(place_at[k])
         for t in range(span):
             j = c - CONTEXT + t
             if 0 <= j < len(words[i]):
@@ -234,11 +237,15 @@ def fit(texts: list[str], labels: list[int]) -> ToxicModel:
     theta, bias, step = _fit_field(win, state, mask, len(lexicon))
     model = ToxicModel({f: float(theta[i]) for f, i in number.items()}, float(bias), tuple(map(tuple, step.tolist())), (0.0, 1.0, 1.0))
     x = np.array([(1.0, *_doc_features([p for _, _, p in model.tag(t)[0]])) for t in texts])
+    share = np.ones(len(y))
+    if totals:
+        share = np.array([totals.get(v, 0) / max(1, int((y == v).sum())) for v in (0, 1)])[y]
+        share = share / share.mean()
     w = np.zeros(3)
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (y - p) - np.array([0, 0.1, 0.1]) * w
-        hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag([1e-6, 0.1, 0.1])
+        grad = x.T @ (share * (y - p)) - np.array([0, 0.1, 0.1]) * w
+        hess = (x * (share * p * (1 - p))[:, None]).T @ x + np.diag([1e-6, 0.1, 0.1])
         w = w + np.linalg.solve(hess, grad)
     model.calibration = tuple(float(v) for v in w)
     return model
@@ -259,7 +266,8 @@ def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     part = [known.where(F.col("_y") == y).orderBy(*order).limit(per_class) for y in (0, 1)]
     chosen = part[0].unionByName(part[1])
     rows = docs.select(id_col, text_or_empty(text_col).alias("_text")).join(F.broadcast(chosen), id_col).groupBy(id_col).agg(F.max("_y").alias("_y"), F.min("_text").alias("_text")).orderBy(*order).collect()
-    return fit([r["_text"] for r in rows], [r["_y"] for r in rows])
+    totals = {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}
+    return fit([r["_text"] for r in rows], [r["_y"] for r in rows], totals)
 
 
 def tag_toxic(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col: str = "text", spans: bool = True, least: float = 0.5) -> DataFrame:

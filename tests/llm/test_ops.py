@@ -225,6 +225,23 @@ def test_toxicity_held_out_accuracy_and_spans(spark):
     assert {r.doc_id for r in toxicity.drop_toxic(docs, model).collect()} == {i for i in range(600) if i % 5}
 
 
+def test_toxicity_windows_come_from_whole_texts(monkeypatch):
+    seen, fit_field = [], toxicity._fit_field
+    monkeypatch.setattr(toxicity, "_fit_field", lambda win, *rest: seen.append(len(win)) or fit_field(win, *rest))
+    toxicity.fit(["vileword " * 100] * 20 + ["plain words only"] * 20, [1] * 20 + [0] * 20)
+    assert seen == [20 * 100 + 20]
+
+
+def test_toxicity_scores_do_not_depend_on_the_sample_shares():
+    """The word stands in all toxic texts and in one clean text of twenty; one text in twenty is toxic."""
+    clean = [f"a b c d{i % 7} " + ("vileword" if i % 20 == 0 else "e") for i in range(1900)]
+    toxic = [f"a b c d{i % 7} vileword" for i in range(100)]
+    every = toxicity.fit(clean + toxic, [0] * 1900 + [1] * 100)
+    some = toxicity.fit(clean[:100] + toxic, [0] * 100 + [1] * 100, {0: 1900, 1: 100})
+    score = lambda m: m.score([p for _, _, p in m.tag("a b vileword")[0]])
+    assert 0.3 < score(every) < 0.7 and abs(score(some) - score(every)) < 0.1
+
+
 def test_toxicity_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(3, 1), (8, 0), (None, 1), (4, None)], "doc_id long, toxic int")
     model = toxicity.fit_on(odd, labels)
