@@ -29,14 +29,17 @@ GRIDS = (16, 32, 64)
 WORDS_HELD = 300_000
 PARTS_HELD = 800_000
 #: How the vocabulary's tokenizer cuts a word before it merges (its own pattern).
-PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
+#: Characters that ``str.split`` takes for white space and the tokenizer does not.
+NO_SPACE = "\x1c\x1d\x1e\x1f"
 
 
 class WordTokenizer:
     """Ids of whole texts, each distinct part tokenised once while it is held.
 
     This vocabulary's tokenizer drops white space and never merges over the cuts of ``PRETOKEN``, so a text's ids are those of its
-    parts in turn. Both caches are emptied when full, which costs time and changes nothing.
+    parts in turn. Both caches are emptied when full, which costs time and changes nothing. A text that spells an added token, such as
+    the end of text, goes to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -45,7 +48,10 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.added = regex.compile("|".join(regex.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()) or r"(?!)")
+        self.whole = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
+        self.space = regex.compile(rf"[^\S{NO_SPACE}]+")
         self.cut = regex.compile(PRETOKEN)
         vocab = self.tok.get_vocab()
         self.end = np.zeros(max(vocab.values()) + 1, dtype=bool)
@@ -67,8 +73,12 @@ class WordTokenizer:
         for p, e in zip(parts, self.tok.encode_batch_fast(parts, add_special_tokens=False), strict=True):
             self.parts[p] = np.array(e.ids, dtype="<u4").tobytes()
 
+    def _words(self, text: str) -> list[str]:
+        return [w for w in self.space.split(text) if w] if any(c in text for c in NO_SPACE) else text.split()
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        lists = [(s if unicodedata.is_normalized("NFC", s) else unicodedata.normalize("NFC", s)).split() for s in texts]
+        whole = {i: np.array(self.whole.encode(s, add_special_tokens=False).ids, dtype="<u4") for i, s in enumerate(texts) if self.added.search(s)}
+        lists = [[] if i in whole else self._words(s if unicodedata.is_normalized("NFC", s) else unicodedata.normalize("NFC", s)) for i, s in enumerate(texts)]
         if len(self.words) > WORDS_HELD:
             self.words.clear()
         if len(self.parts) > PARTS_HELD:
@@ -80,7 +90,7 @@ class WordTokenizer:
         for w, ps in cuts.items():
             self.words[w] = b"".join([parts[p] for p in ps])
         words = self.words
-        return [np.frombuffer(b"".join([words[w] for w in ws]), dtype="<u4") for ws in lists]
+        return [whole[i] if i in whole else np.frombuffer(b"".join([words[w] for w in ws]), dtype="<u4") for i, ws in enumerate(lists)]
 
 
 @cache

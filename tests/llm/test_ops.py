@@ -96,6 +96,15 @@ def test_nnls_matches_projection():
     assert np.allclose(packing.nnls(a, a @ x), x, atol=1e-6)
 
 
+@pytest.mark.parametrize("text", ["a\x1cb", "\x1f", "a \x1d. \x1e's B!\x1c", "x\x85y\xa0z", "end <|endoftext|> more", "<|startoftext|>\x1c z", "<|ENDOFTEXT|> a"])
+def test_word_ids_are_the_tokenizers_own(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert packing.WordTokenizer(path).encode([text])[0].tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
 # sharding
 
 
