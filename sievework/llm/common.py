@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.operators.graph import ensure_checkpoint_dir
 
-__all__ = ["ensure_checkpoint_dir", "scratch", "stored", "table", "text_or_empty"]
+__all__ = ["Room", "batches_of", "ensure_checkpoint_dir", "scratch", "stored", "table", "text_or_empty"]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -25,6 +27,43 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what is run inside, so that wide rows do not add up in a task's memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+class Room:
+    """Scratch tables of one call. ``close`` deletes them, once the call's result is stored elsewhere."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def path(self, name: str) -> str:
+        self.paths.append(scratch(self.spark, name))
+        return self.paths[-1]
+
+    def stored(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+        path = self.path(name)
+        df.write.option("compression", codec).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.paths:
+            at = hadoop(path)
+            at.getFileSystem(conf).delete(at, True)
+        self.paths = []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

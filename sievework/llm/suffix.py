@@ -7,7 +7,10 @@ fits in memory. Long ties, suffixes equal over the whole prefix, are settled by
 border open are all suffixes near it sorted by their full ``length`` bytes. Text never moves; keys go out and one bit for each key
 comes back.
 
-A prefix stands in the buckets as a 64-bit key (a random polynomial of its bytes, mixed), equal for equal prefixes.
+Suffixes are put in the order of a 64-bit key of their prefix (a random polynomial of its bytes, mixed), not in that of its letters:
+only equality matters here, and prefixes themselves would be ``(order + 1) * (length - period + 1) / period`` times the text. Equal
+prefixes have equal keys, so no repeat is missed; two that differ and share a key cost a look and cut nothing, because what is cut is
+decided on 128-bit digests of the ``length`` bytes themselves.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import hashlib
 import itertools
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cache
 
 import numpy as np
@@ -24,13 +27,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm.common import scratch, stored, table, text_or_empty
+from sievework.llm.common import Room, batches_of, stored, table, text_or_empty
 
 LENGTH = 400
 ORDER = 13
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20
 SHORT_KEY = 40
+#: Steps whose answers decide what is cut: their keys are digests of the strings.
+DECIDING = (2, 4, 5)
+#: Documents, and blocks with their replies, that cross to Python at once.
+DOCS_AT_ONCE, BLOCKS_AT_ONCE = 1000, 4
 
 
 @cache
@@ -95,6 +102,15 @@ class Block:
         h *= np.uint64(0xD6E8FEB86659FD93)
         return h ^ (h >> np.uint64(32))
 
+    def digests(self, at: np.ndarray, length: int | np.ndarray) -> np.ndarray:
+        """The 128-bit digests (high, low) of the strings at these places, one row each."""
+        from xxhash import xxh3_128_digest
+
+        raw = self.data.tobytes()
+        stop = at + length
+        joined = b"".join([xxh3_128_digest(raw[a:b]) for a, b in zip(at.tolist(), stop.tolist(), strict=True)])
+        return np.frombuffer(joined, dtype=">u8").reshape(-1, 2).astype(np.uint64)
+
     def cover(self, period: int, residues: np.ndarray, length: int) -> np.ndarray:
         """Cover positions whose prefix of ``length`` bytes ends inside the document."""
         inside = np.zeros(period, dtype=bool)
@@ -149,6 +165,18 @@ def _counted(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return u, inverse, n
 
 
+def _distinct(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct rows, for each row the place of its like, and how often each occurs."""
+    order = np.lexsort((digests[:, 1], digests[:, 0]))
+    ordered = digests[order]
+    new = np.ones(len(ordered), dtype=bool)
+    new[1:] = (ordered[1:] != ordered[:-1]).any(axis=1)
+    place = np.cumsum(new) - 1
+    inverse = np.empty(len(order), dtype=np.int64)
+    inverse[order] = place
+    return ordered[new], inverse, np.bincount(place, minlength=int(new.sum()))
+
+
 def _pack(keys: np.ndarray, width: int) -> bytes:
     return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
@@ -180,7 +208,14 @@ class Method:
         return self.bucket_bits + SHORT_KEY if step in (1, 3) else 64
 
     def rows(self, keys: np.ndarray, flags: np.ndarray, step: int):
-        """Sorted distinct keys cut by bucket: ``(bucket, keys, flags)``."""
+        """Sorted distinct keys or digests cut by bucket: ``(bucket, keys, flags)``."""
+        if step in DECIDING:
+            bucket = (keys[:, 0] >> np.uint64(64 - self.bucket_bits)).astype(np.int64)
+            cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)]
+            for a, b in itertools.pairwise(cuts):
+                if b > a:
+                    yield int(bucket[a]), keys[a:b].astype("<u8").tobytes(), np.packbits(flags[a:b]).tobytes()
+            return
         low = self.key_bits(step) - self.bucket_bits
         width = -(-low // 8)
         bucket = (keys >> np.uint64(low)).astype(np.int64)
@@ -207,7 +242,7 @@ class Method:
         5: runs of ``words`` words that are shorter than ``length``, which longer strings do not cover.
         """
         if step == 5:
-            strings, _, m = _counted(b.keys(*b.short_windows(self.words, self.length)), 64)
+            strings, _, m = _distinct(b.digests(*b.short_windows(self.words, self.length)))
             return strings, m > 1
         period, residues = difference_cover(self.order)
         cover = b.cover(period, residues, self.prefix)
@@ -221,7 +256,7 @@ class Method:
         last = b.ends[doc] - self.length
         last = last[last >= b.starts[doc]]
         known = np.unique(np.concatenate([tied[full[tied]] if len(tied) else tied, last]))
-        strings, back, m = _counted(b.keys(known, self.length), 64)
+        strings, back, m = _distinct(b.digests(known, self.length))
         if step == 2:
             return strings, m > 1
         sure = known[self.replies(replies[1], len(strings))[back]]
@@ -243,14 +278,14 @@ class Method:
         open_rank = np.zeros(len(ranks), dtype=bool)
         open_rank[sent] = self.replies(replies[2], len(sent))
         zone = np.flatnonzero(b.spread(tied[open_rank[tied_rank]], period - 1, 1) & full)
-        strings, back, m = _counted(b.keys(zone, self.length), 64)
+        strings, back, m = _distinct(b.digests(zone, self.length))
         if step == 4:
             return strings, m > 1
         found = zone[self.replies(replies[3], len(strings))[back]]
         covered |= b.spread(found, 0, self.length)
         if self.words:
             at, size = b.short_windows(self.words, self.length)
-            strings, back, _ = _counted(b.keys(at, size), 64)
+            strings, back, _ = _distinct(b.digests(at, size))
             again = self.replies(replies[4], len(strings))[back]
             covered |= b.spread(at[again], 0, size[again])
         return covered, None
@@ -258,10 +293,13 @@ class Method:
 
 def _settle(table_: pa.Table, width: int, any_flag: bool) -> pa.Table:
     """Sorts one bucket and answers each of its rows with a bit a key: met elsewhere, or (``any_flag``) flagged anywhere."""
-    rows = table_.num_rows
-    keys = [_unpack(k.as_py(), width) for k in table_.column("keys")]
+    if width == 16:
+        keys = [np.frombuffer(k.as_buffer(), dtype="<u8").reshape(-1, 2) for k in table_.column("keys")]
+    else:
+        keys = [_unpack(k.as_py(), width) for k in table_.column("keys")]
     flags = [np.unpackbits(np.frombuffer(f.as_py(), dtype=np.uint8), count=len(k)) for f, k in zip(table_.column("flags"), keys, strict=True)]
-    _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    every = np.concatenate(keys)
+    inverse = _distinct(every)[1] if width == 16 else np.unique(every, return_inverse=True)[1]
     weight = np.concatenate(flags) if any_flag else 1 + np.concatenate(flags)
     hit = (np.bincount(inverse, weights=weight) >= (1 if any_flag else 2))[inverse]
     bits, at = [], 0
@@ -271,7 +309,7 @@ def _settle(table_: pa.Table, width: int, any_flag: bool) -> pa.Table:
     return pa.table({"block": table_.column("block"), "bucket": table_.column("bucket"), "n": pa.array([len(k) for k in keys], pa.int32()), "bits": pa.array(bits, pa.binary())})
 
 
-def _write_blocks(docs: DataFrame, carry: list[str], buckets: int) -> DataFrame:
+def _write_blocks(docs: DataFrame, carry: list[str], buckets: int, path: str, name: str) -> DataFrame:
     """Gathers the texts of each input partition to blocks, numbered by partition and place, in a table that is bucketed by number.
 
     Blocks then join with replies without moving. No shuffle; a task that is repeated writes the same blocks.
@@ -309,8 +347,8 @@ def _write_blocks(docs: DataFrame, carry: list[str], buckets: int) -> DataFrame:
             yield emit()
 
     blocks = docs.select(F.struct(*carry).alias("r"), text_or_empty("text").alias("text")).mapInArrow(run, f"block long, blob binary, sizes array<long>, rest array<{rest}>")
-    name = f"sievework_blocks_{uuid.uuid4().hex}"
-    blocks.write.format("parquet").option("compression", "zstd").option("path", scratch(spark, "blocks")).bucketBy(buckets, "block").saveAsTable(name)
+    with batches_of(spark, DOCS_AT_ONCE):
+        blocks.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, "block").saveAsTable(name)
     return spark.table(name)
 
 
@@ -321,7 +359,7 @@ def _with_replies(blocks: DataFrame, replies: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _exchange(blocks: DataFrame, replies: list[DataFrame], method: Method, step: int) -> DataFrame:
+def _exchange(blocks: DataFrame, replies: list[DataFrame], method: Method, step: int, room: Room) -> DataFrame:
     """One step: blocks send keys, buckets answer. The answers are stored."""
     count = len(replies)
 
@@ -334,9 +372,10 @@ def _exchange(blocks: DataFrame, replies: list[DataFrame], method: Method, step:
                 number = rb.column("block")[i].as_py()
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([number] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "block", "keys", "flags"])
 
-    width = -(-(method.key_bits(step) - method.bucket_bits) // 8)
+    width = 16 if step in DECIDING else -(-(method.key_bits(step) - method.bucket_bits) // 8)
     sent = _with_replies(blocks, replies).drop("rest").mapInArrow(send, "bucket long, block long, keys binary, flags binary")
-    return stored(sent.groupBy("bucket").applyInArrow(lambda t: _settle(t, width, step == 3), "block long, bucket long, n int, bits binary"), f"suffix-{step}")
+    with batches_of(blocks.sparkSession, BLOCKS_AT_ONCE):
+        return room.stored(sent.groupBy("bucket").applyInArrow(lambda t: _settle(t, width, step == 3), "block long, bucket long, n int, bits binary"), f"suffix-{step}")
 
 
 def _runs(mask: np.ndarray) -> np.ndarray:
@@ -354,21 +393,35 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, order: int = ORDER, carr
     Returns ``rest`` (the ``carry`` columns), ``n_bytes``, ``n_removed``, ``spans`` (maximal removed runs) and ``kept`` (the remaining
     bytes). With ``whole_chars`` a run keeps the bytes of a character that it only touches. A null text is empty; a document shorter
     than ``length`` keeps all; equal documents of at least ``length`` bytes lose all; an empty table gives no rows. Texts are judged on
-    the input, whole, and documents are never joined.
+    the input, whole, and documents are never joined. The result is stored; blocks, replies and the blocks' catalog entry are gone
+    when this returns.
     """
     spark = docs.sparkSession
     carry = carry or ["doc_id"]
     source = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)], F.col(text_col).alias("text"))
     names = [f"c{i}" for i in range(len(carry))]
+    room, name = Room(spark), f"sievework_blocks_{uuid.uuid4().hex}"
+    try:
+        out = _cut(source, names, Method(length, order, 0, words), whole_chars, room, name)
+        with batches_of(spark, BLOCKS_AT_ONCE):
+            done = stored(out.select(*[F.col(f"rest.c{i}").alias(c) for i, c in enumerate(carry)], "n_bytes", "n_removed", "spans", "kept"), "suffix-result")
+    finally:
+        spark.sql(f"drop table if exists {name}")
+        room.close()
+    return done
+
+
+def _cut(source: DataFrame, names: list[str], method: Method, whole_chars: bool, room: Room, name: str) -> DataFrame:
+    spark = source.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = _write_blocks(source, names, parts)
+    blocks = _write_blocks(source, names, parts, room.path("blocks"), name)
     total = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    keys = total * (order + 1) / (order * order + order + 1) * 5
+    keys = total * (method.order + 1) / method.period * 5
     bits = max(int(2 * parts).bit_length(), int(keys // BUCKET_BYTES + 1).bit_length())
-    method = Method(length, order, min(bits, 24), words)
+    method = replace(method, bucket_bits=min(bits, 24))
     replies: list[DataFrame] = []
-    for step in (1, 2, 3, 4, 5) if words else (1, 2, 3, 4):
-        replies.append(_exchange(blocks, replies, method, step))
+    for step in (1, 2, 3, 4, 5) if method.words else (1, 2, 3, 4):
+        replies.append(_exchange(blocks, replies, method, step, room))
     rest, count = dict(blocks.dtypes)["rest"], len(replies)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,8 +443,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, order: int = ORDER, carr
                 held = rb.column("rest")[i].values
                 yield pa.RecordBatch.from_arrays([held, pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, struct_), pa.array(kept, pa.binary())], names=["rest", "n_bytes", "n_removed", "spans", "kept"])
 
-    out = _with_replies(blocks, replies).mapInArrow(finish, f"rest {rest[len('array<') : -1]}, {RESULT}")
-    return out.select(*[F.col(f"rest.c{i}").alias(c) for i, c in enumerate(carry)], "n_bytes", "n_removed", "spans", "kept")
+    return _with_replies(blocks, replies).mapInArrow(finish, f"rest {rest[len('array<') : -1]}, {RESULT}")
 
 
 def _whole(mask: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -404,6 +456,7 @@ def _whole(mask: np.ndarray, data: np.ndarray) -> np.ndarray:
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without the bytes of 400-byte strings that occur more than once."""
+    """All documents without the bytes of 400-byte strings that occur more than once; ``text`` is what is left, made valid where a cut parts a character."""
     out = find_repeats(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    text = F.make_valid_utf8(F.col("kept").cast("string"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), text.alias("text"))
