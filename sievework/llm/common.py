@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sievework.operators.graph import ensure_checkpoint_dir
 
-__all__ = ["Room", "batches_of", "ensure_checkpoint_dir", "scratch", "stored", "table", "text_or_empty"]
+__all__ = ["Room", "batches_of", "ensure_checkpoint_dir", "scratch", "stored", "table", "text_or_empty", "tidy"]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -39,6 +39,18 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def tidy() -> None:
+    """Gives memory that a task has freed back to the system; Python workers outlive tasks."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Room:
     """Scratch tables of one call. ``close`` deletes them, once the call's result is stored elsewhere."""
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sievework.llm.common import ensure_checkpoint_dir, stored, table, text_or_empty
+from sievework.llm.common import Room, batches_of, ensure_checkpoint_dir, stored, table, text_or_empty, tidy
 from sievework.operators.graph import connected_components
 
 BITS = 64
@@ -217,6 +217,8 @@ COMMON = 100_000
 TURNS = 2
 #: Pairs sent at once.
 HELD = 65_536
+#: Texts and pairs of sets that cross to Python at once.
+ROWS_AT_ONCE = 500
 NEAR_PAIRS = "a long, b long"
 
 
@@ -250,29 +252,41 @@ def needed(n, m, similarity: float):
     return np.ceil(similarity / (1 + similarity) * (n + m) - 1e-9)
 
 
-def cross_pairs(node: np.ndarray, comp: np.ndarray, n: np.ndarray, pos: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of a key's rows from different components that can still be similar, at most about ``HELD`` at once.
+def shared_keys(n, m, similarity: float):
+    """Prefix elements that two just similar sets of ``n`` and ``m`` have in common at least.
 
-    ``pos`` is the key's place in a row's set: where it is the first that both have, what follows it bounds the overlap.
+    A common element that is not in both prefixes lies behind the prefix that ends first, so behind one of them.
+    """
+    behind = lambda k: np.ceil(similarity * k - 1e-9) - 1
+    return needed(n, m, similarity) - np.maximum(behind(n), behind(m))
+
+
+def cross_pairs(node: np.ndarray, comp: np.ndarray, n: np.ndarray, pos: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All pairs of a key's rows from different components that can still be similar, at most about ``HELD`` at once, and how many
+    keys such a pair shares at least.
+
+    ``pos`` is the key's place in a row's set: what stands before it and what follows in both bounds the overlap, so a similar pair
+    is given by every key that it shares.
     """
     _, inverse, counts = np.unique(comp, return_inverse=True, return_counts=True)
     rank = np.argsort(np.argsort(counts, kind="stable"), kind="stable")[inverse]
     order = np.argsort(rank, kind="stable")
-    node, n, left, rank = node[order], n[order], (n - pos)[order], rank[order]
+    node, n, pos, left, rank = node[order], n[order], pos[order], (n - pos)[order], rank[order]
     stop = np.searchsorted(rank, rank, side="right")
-    a, b, size = [], [], 0
+    a, b, least, size = [], [], [], 0
     for i in range(int(np.searchsorted(rank, rank[-1]))):
         j = stop[i]
-        near = np.flatnonzero(np.minimum(left[i], left[j:]) >= needed(n[i], n[j:], similarity)) + j
+        near = np.flatnonzero(np.minimum(left[i], left[j:]) + np.minimum(pos[i], pos[j:]) >= needed(n[i], n[j:], similarity)) + j
         if len(near):
             a.append(np.full(len(near), node[i]))
             b.append(node[near])
+            least.append(shared_keys(n[i], n[near], similarity))
             size += len(near)
             if size >= HELD:
-                yield np.concatenate(a), np.concatenate(b)
-                a, b, size = [], [], 0
+                yield np.concatenate(a), np.concatenate(b), np.concatenate(least)
+                a, b, least, size = [], [], [], 0
     if size:
-        yield np.concatenate(a), np.concatenate(b)
+        yield np.concatenate(a), np.concatenate(b), np.concatenate(least)
 
 
 def _common_shingles(rows: DataFrame, total: int, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -284,6 +298,7 @@ def _common_shingles(rows: DataFrame, total: int, shingle: int) -> tuple[np.ndar
             for lo in range(0, rb.num_rows, 512):
                 sets = [shingle_set(t.as_py(), shingle).view(np.int64) for t in rb.column(0).slice(lo, 512)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets))], names=["h"])
+        tidy()
 
     some = rows.where(F.pmod(F.xxhash64(F.lit("near"), "id"), F.lit(share)) == 0).select("text")
     counts = some.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 3")
@@ -298,11 +313,22 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``id, component_id`` of documents whose sets of word shingles are ``similarity`` alike (Jaccard) or more, and chains of such.
 
     Exact: no pair at ``similarity`` is left out and none below it is linked. Equal sets collapse first. Then rows of a key are compared
-    with the neighbour in size that they meet most, and ``TURNS`` times in a mixed order, which joins most large groups at a few comparisons a row; then all rows of a key that are still apart are
-    compared with each other. Only pairs of numbers are made for that, and the sets of candidates are made from their texts to decide them. Rows that
-    share an id are one document; null text is empty.
+    with the neighbour in size that they meet most, and ``TURNS`` times in a mixed order, which joins most large groups at a few
+    comparisons a row; then all rows of a key that are still apart are compared with each other. Only pairs of numbers are made for
+    that, one for each key that a pair shares; pairs that share too few to be similar go, and the sets of the others are made from
+    their texts to decide them. Rows that share an id are one document; null text is empty. The result is stored; what led to it is
+    deleted.
     """
-    spark = docs.sparkSession
+    room = Room(docs.sparkSession)
+    try:
+        with batches_of(docs.sparkSession, ROWS_AT_ONCE):
+            return stored(_similar(docs, id_col, text_col, shingle, similarity, room), "near-groups")
+    finally:
+        room.close()
+
+
+def _similar(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float, room: Room) -> DataFrame:
+    spark, stored = docs.sparkSession, room.stored
     ensure_checkpoint_dir(spark)
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     total = rows.count()
@@ -319,6 +345,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 first = [prefix_of(s, common, place, similarity).tobytes() for s in sets]
                 cols = [part.column(0), pa.array(node), pa.array([len(s) for s in sets], pa.int32()), pa.array(first, pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, names=["id", "node", "n", "first"])
+        tidy()
 
     prints = stored(rows.mapInArrow(run, "id long, node long, n int, first binary"), "near-sets")
     nodes = stored(prints.groupBy("node").agg(F.min("id").alias("least")), "near-nodes")
@@ -350,6 +377,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([rb.column(0).filter(keep), rb.column(1).filter(keep)], names=["a", "b"])
+        tidy()
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(marks, dtype=bool)
@@ -375,6 +403,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     own = [shingle_set(t.as_py(), shingle).tobytes() for t in texts[lo : lo + 512]]
                     node = np.array([xxhash.xxh64_intdigest(s, SEED + 1) for s in own], dtype=np.uint64).view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(own, pa.binary())], names=["node", "own"])
+            tidy()
 
         return rows.select("text", spot("id").alias("spot")).mapInArrow(read, "node long, own binary").join(asked, "node", "left_semi")
 
@@ -385,10 +414,12 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(decide, NEAR_PAIRS), f"{name}-links")
 
     def neighbours(rows: DataFrame) -> DataFrame:
-        """For each node the one that stands before it in most keys, where the two can still be similar."""
+        """For each node the one that stands before it in most keys, where the two share at least half the keys that similar ones do."""
         overlap = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("n_before")) - 1e-9)
-        close = rows.where(F.least(F.col("n") - F.col("pos"), F.col("n_before") - F.col("pos_before")) >= overlap)
-        often = close.groupBy("node", "node_before").agg(F.count("*").alias("keys")).groupBy("node").agg(F.max_by("node_before", F.struct("keys", "node_before")).alias("a"))
+        behind = F.ceil(F.lit(similarity) * F.greatest("n", "n_before") - 1e-9) - 1
+        close = rows.where(F.least(F.col("n") - F.col("pos"), F.col("n_before") - F.col("pos_before")) + F.least("pos", "pos_before") >= overlap)
+        keys = close.withColumn("least", overlap - behind).groupBy("node", "node_before", "least").agg(F.count("*").alias("keys")).where(2 * F.col("keys") >= F.col("least"))
+        often = keys.groupBy("node").agg(F.max_by("node_before", F.struct("keys", "node_before")).alias("a"))
         return often.select("a", F.col("node").alias("b"))
 
     def still_apart(joined: DataFrame) -> DataFrame:
@@ -412,8 +443,10 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             if sum(len(h[0]) for h in held) > 1:
                 cols = [np.concatenate([h[i] for h in held]) for i in range(4)]
                 if (cols[1] != cols[1][0]).any():
-                    for a, b in cross_pairs(*cols, similarity):
-                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                    for a, b, least in cross_pairs(*cols, similarity):
+                        swap = a > b
+                        a, b = np.where(swap, b, a), np.where(swap, a, b)
+                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(least.astype(np.int32))], names=["a", "b", "least"])
 
         for rb in batches:
             if not rb.num_rows:
@@ -427,7 +460,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 held.append([c[lo:hi] for c in cols])
         yield from emit()
 
-    more = linked(still_apart(joined).repartition("key").sortWithinPartitions("key").mapInArrow(compare, NEAR_PAIRS), "near-rest")
+    met_by = still_apart(joined).repartition("key").sortWithinPartitions("key").mapInArrow(compare, f"{NEAR_PAIRS}, least int")
+    more = linked(met_by.groupBy("a", "b", "least").agg(F.count("*").alias("keys")).where("keys >= least"), "near-rest")
     same = prints.groupBy("id").agg(F.array_sort(F.collect_set("node")).alias("all")).where("size(all) > 1").select(F.col("all")[0].alias("a"), F.explode("all").alias("b"))
     roots = connected_components(links.unionByName(more).unionByName(same))
     classes = stored(nodes.join(roots, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component")), "near-classes")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm.common import Room, batches_of, stored, table, text_or_empty
+from sievework.llm.common import Room, batches_of, stored, table, text_or_empty, tidy
 
 LENGTH = 400
 ORDER = 13
@@ -106,10 +106,25 @@ class Block:
         """The 128-bit digests (high, low) of the strings at these places, one row each."""
         from xxhash import xxh3_128_digest
 
-        raw = self.data.tobytes()
-        stop = at + length
-        joined = b"".join([xxh3_128_digest(raw[a:b]) for a, b in zip(at.tolist(), stop.tolist(), strict=True)])
-        return np.frombuffer(joined, dtype=">u8").reshape(-1, 2).astype(np.uint64)
+        raw, stop = self.data.tobytes(), at + length
+        out = np.zeros((len(at), 2), dtype=np.uint64)
+        for lo in range(0, len(at), 8192):
+            ends = zip(at[lo : lo + 8192].tolist(), stop[lo : lo + 8192].tolist(), strict=True)
+            out[lo : lo + 8192] = np.frombuffer(b"".join([xxh3_128_digest(raw[a:b]) for a, b in ends]), dtype=">u8").reshape(-1, 2)
+        return out
+
+    def strings(self, at: np.ndarray, length: int | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct strings at these places as rows (key, digest high, digest low) in order, each place's row, and the counts.
+
+        Nearly always keys alone tell a block's strings apart; then their order is that of ``told``.
+        """
+        rows = np.concatenate([self.keys(at, length)[:, None], self.digests(at, length)], axis=1)
+        return _distinct(rows)
+
+    def told(self, at: np.ndarray, length: int | np.ndarray, count: int) -> np.ndarray:
+        """Each place's row among the ``count`` distinct strings, without digests where keys tell them apart."""
+        keys, inverse, _ = _counted(self.keys(at, length), 64)
+        return inverse if len(keys) == count else self.strings(at, length)[1]
 
     def cover(self, period: int, residues: np.ndarray, length: int) -> np.ndarray:
         """Cover positions whose prefix of ``length`` bytes ends inside the document."""
@@ -165,10 +180,17 @@ def _counted(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return u, inverse, n
 
 
-def _distinct(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct rows, for each row the place of its like, and how often each occurs."""
-    order = np.lexsort((digests[:, 1], digests[:, 0]))
-    ordered = digests[order]
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct rows of keys, for each row the place of its like, and how often each occurs.
+
+    Rows that differ in their first key, nearly all that differ, are in order after it is sorted; all keys are only where they do not.
+    """
+    order = np.argsort(rows[:, 0], kind="stable")
+    ordered = rows[order]
+    same = ordered[1:, 0] == ordered[:-1, 0]
+    if (same & (ordered[1:] != ordered[:-1]).any(axis=1)).any():
+        order = np.lexsort(rows.T[::-1])
+        ordered = rows[order]
     new = np.ones(len(ordered), dtype=bool)
     new[1:] = (ordered[1:] != ordered[:-1]).any(axis=1)
     place = np.cumsum(new) - 1
@@ -214,7 +236,7 @@ class Method:
             cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)]
             for a, b in itertools.pairwise(cuts):
                 if b > a:
-                    yield int(bucket[a]), keys[a:b].astype("<u8").tobytes(), np.packbits(flags[a:b]).tobytes()
+                    yield int(bucket[a]), keys[a:b, 1:].astype("<u8").tobytes(), np.packbits(flags[a:b]).tobytes()
             return
         low = self.key_bits(step) - self.bucket_bits
         width = -(-low // 8)
@@ -225,14 +247,10 @@ class Method:
             if b > a:
                 yield int(bucket[a]), _pack(keys[a:b] & mask, width), np.packbits(flags[a:b]).tobytes()
 
-    def replies(self, reply, count: int) -> np.ndarray:
+    def replies(self, reply) -> np.ndarray:
         """The bits of sorted distinct keys from the rows that the buckets sent back."""
-        out = np.zeros(count, dtype=bool)
-        at = 0
-        for r in sorted(reply or [], key=lambda r: r["bucket"]):
-            out[at : at + r["n"]] = np.unpackbits(np.frombuffer(r["bits"], dtype=np.uint8), count=r["n"]).astype(bool)
-            at += r["n"]
-        return out
+        parts = [np.unpackbits(np.frombuffer(r["bits"], dtype=np.uint8), count=r["n"]) for r in sorted(reply or [], key=lambda r: r["bucket"])]
+        return np.concatenate(parts).astype(bool) if parts else np.zeros(0, dtype=bool)
 
     def ask(self, b: Block, replies: list, step: int):
         """The keys that a block sends in a step, with their flags, or after the last step which bytes repeat.
@@ -242,24 +260,25 @@ class Method:
         5: runs of ``words`` words that are shorter than ``length``, which longer strings do not cover.
         """
         if step == 5:
-            strings, _, m = _distinct(b.digests(*b.short_windows(self.words, self.length)))
+            strings, _, m = b.strings(*b.short_windows(self.words, self.length))
             return strings, m > 1
         period, residues = difference_cover(self.order)
         cover = b.cover(period, residues, self.prefix)
         ranks, inverse, n = _counted(b.keys(cover, self.prefix), self.key_bits(1))
         if step == 1:
             return ranks, n > 1
-        shared = self.replies(replies[0], len(ranks))[inverse]
+        shared = self.replies(replies[0])[inverse]
         tied, tied_rank = cover[shared], inverse[shared]
         full = b.full(self.length)
         doc = np.unique(np.searchsorted(b.ends, tied, side="right"))
         last = b.ends[doc] - self.length
         last = last[last >= b.starts[doc]]
         known = np.unique(np.concatenate([tied[full[tied]] if len(tied) else tied, last]))
-        strings, back, m = _distinct(b.digests(known, self.length))
         if step == 2:
+            strings, _, m = b.strings(known, self.length)
             return strings, m > 1
-        sure = known[self.replies(replies[1], len(strings))[back]]
+        again = self.replies(replies[1])
+        sure = known[again[b.told(known, self.length, len(again))]]
         covered = b.spread(sure, 0, self.length)
         near = b.spread(tied, period - 1, 1) & full
         bare = np.concatenate([[0], np.cumsum(~covered)])
@@ -276,17 +295,18 @@ class Method:
         if step == 3:
             return ranks[sent], flags[sent]
         open_rank = np.zeros(len(ranks), dtype=bool)
-        open_rank[sent] = self.replies(replies[2], len(sent))
+        open_rank[sent] = self.replies(replies[2])
         zone = np.flatnonzero(b.spread(tied[open_rank[tied_rank]], period - 1, 1) & full)
-        strings, back, m = _distinct(b.digests(zone, self.length))
         if step == 4:
+            strings, _, m = b.strings(zone, self.length)
             return strings, m > 1
-        found = zone[self.replies(replies[3], len(strings))[back]]
+        again = self.replies(replies[3])
+        found = zone[again[b.told(zone, self.length, len(again))]]
         covered |= b.spread(found, 0, self.length)
         if self.words:
             at, size = b.short_windows(self.words, self.length)
-            strings, back, _ = _distinct(b.digests(at, size))
-            again = self.replies(replies[4], len(strings))[back]
+            again = self.replies(replies[4])
+            again = again[b.told(at, size, len(again))]
             covered |= b.spread(at[again], 0, size[again])
         return covered, None
 
@@ -370,7 +390,9 @@ def _exchange(blocks: DataFrame, replies: list[DataFrame], method: Method, step:
                 keys, flags = method.ask(b, [rb.column(f"reply{k}")[i].as_py() for k in range(count)], step)
                 rows = list(method.rows(keys, flags, step))
                 number = rb.column("block")[i].as_py()
+                del b, keys, flags
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([number] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "block", "keys", "flags"])
+        tidy()
 
     width = 16 if step in DECIDING else -(-(method.key_bits(step) - method.bucket_bits) // 8)
     sent = _with_replies(blocks, replies).drop("rest").mapInArrow(send, "bucket long, block long, keys binary, flags binary")
@@ -442,6 +464,7 @@ def _cut(source: DataFrame, names: list[str], method: Method, whole_chars: bool,
                 struct_ = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
                 held = rb.column("rest")[i].values
                 yield pa.RecordBatch.from_arrays([held, pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, struct_), pa.array(kept, pa.binary())], names=["rest", "n_bytes", "n_removed", "spans", "kept"])
+        tidy()
 
     return _with_replies(blocks, replies).mapInArrow(finish, f"rest {rest[len('array<') : -1]}, {RESULT}")
 
