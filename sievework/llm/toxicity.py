@@ -18,15 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import table, text_or_empty
+from sievework.llm.common import Room, batches_of, table, text_or_empty, tidy
 
 #: Labelled rows of each class that a model is fitted on at most: those whose hashed id is smallest.
 SAMPLE_PER_CLASS = 4000
 PREFIXES = (4, 5, 6)
 STEM = 4
 CONTEXT = 8
-#: Labelled windows that the field is fitted on at most.
-WINDOWS = 8000
+#: Features that are taken where fewer pass the bound on chance.
+FEW = 20
 THRESHOLD = 0.3
 WORD = re.compile(r"[^\W_]+")
 
@@ -125,50 +125,76 @@ def _doc_features(marginals: list[float]) -> tuple[float, float]:
     return math.log(top / (1 - top)), math.log1p(sum(marginals))
 
 
-def _lexicon(texts: list[list[str]], labels: np.ndarray) -> set[str]:
-    """Features whose documents are toxic beyond chance (a Chernoff bound over all features that are frequent enough to pass it) and
-    nearly always. Counted by hash, so that no dictionary of all features is held."""
-    n1, n0 = int(labels.sum()), int((1 - labels).sum())
-    if not n1 or not n0:
-        return set()
-    every, a, b = np.zeros(0, dtype=np.uint64), np.zeros(0), np.zeros(0)
-    for lo in range(0, len(texts), 250):
-        part = [[np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.uint64)]]
-        for words, y in zip(texts[lo : lo + 250], labels[lo : lo + 250], strict=True):
-            mine = {_feature_hash(f) for w in set(words) for f in token_features(w)}
-            part[y].append(np.fromiter(mine, dtype=np.uint64, count=len(mine)))
-        toxic, clean = np.concatenate(part[1]), np.concatenate(part[0])
-        every, at = np.unique(np.concatenate([every, toxic, clean]), return_inverse=True)
-        old, new = at[: len(a)], at[len(a) :]
-        plus = np.bincount(new[: len(toxic)], minlength=len(every)), np.bincount(new[len(toxic) :], minlength=len(every))
-        a, b = (np.bincount(old, weights=v, minlength=len(every)) + p for v, p in zip((a, b), plus, strict=True))
-    base = n1 / (n1 + n0)
-    least = max(2, math.ceil(math.log(100) / math.log(1 / base)))
-    tried = a + b >= least
-    need = math.log(max(int(tried.sum()), 2) / 0.5)
-    every, a, b = every[tried], a[tried], b[tried]
-    p = a / (a + b)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        kl = np.where(p > 0, p * np.log(p / base), 0.0) + np.where(p < 1, (1 - p) * np.log((1 - p) / (1 - base)), 0.0)
-    good = set(every[(a / n1 / (a / n1 + (b + 0.25) / n0) >= 0.9) & (p > base) & ((a + b) * kl > need)].tolist())
-    return {f for words, y in zip(texts, labels, strict=True) if y for w in set(words) for f in token_features(w) if _feature_hash(f) in good}
-
-
-def _feature_hash(feature: str) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(feature)
-
-
-def _fit_field(windows: np.ndarray, states: np.ndarray, mask: np.ndarray, size: int, rounds: int = 150, l2: float = 1e-3) -> tuple[np.ndarray, float, np.ndarray]:
+def feature_counts(texts: list[str], labels: list[int]) -> dict[str, list[int]]:
+    """For each feature, how many of the texts that have it are clean and how many toxic."""
+    out: dict[str, list[int]] = {}
+    for text, y in zip(texts, labels, strict=True):
+        for f in {f for w in set(WORD.findall(lowered(text))) for f in token_features(w)}:
+            out.setdefault(f, [0, 0])[y] += 1
+    return out
+
+
+def least_count(toxic: int, clean: int) -> int:
+    """In how many documents a feature must be for it to pass the bound at all."""
+    base = toxic / (toxic + clean)
+    return max(2, math.ceil(math.log(100) / math.log(1 / base)))
+
+
+def lexicon(candidates: list[tuple[str, int, int]], tried: int, toxic: int, clean: int) -> list[str]:
+    """Of ``(feature, toxic texts, clean texts)`` those that are toxic beyond chance (a Chernoff bound over all ``tried`` features that
+    are frequent enough to pass it) and nearly always. Where fewer than ``FEW`` pass, as on small samples, the ``FEW`` with the most
+    evidence are taken, of those that are toxic nearly always."""
+    base, found = toxic / (toxic + clean), []
+    for f, a, b in candidates:
+        p = a / (a + b)
+        if p > base and a + b >= 2 and a / toxic / (a / toxic + (b + 0.25) / clean) >= 0.9:
+            kl = p * math.log(p / base) + ((1 - p) * math.log((1 - p) / (1 - base)) if p < 1 else 0.0)
+            found.append(((a + b) * kl, f))
+    need = math.log(max(tried, 2) / 0.5)
+    found.sort(key=lambda x: (-x[0], x[1]))
+    passed = sum(e > need for e, _ in found)
+    return sorted(f for _, f in found[: max(passed, FEW)])
+
+
+SPAN, WIDTH = 2 * CONTEXT + 1, len(PREFIXES) + 1
+
+
+def text_windows(words: list[str], y: int, number: dict[str, int], spare: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows around the featured words of a whole text, or around one word (``spare`` picks it) where there are none.
+
+    Feature numbers from 1 on, 0 for none (``SPAN * WIDTH`` a row), and for each token its state: toxic 1, clean 0, no token -1. A
+    featured word inside the window before it has none of its own.
+    """
+    got = {k: f for k, w in enumerate(words) if (f := [number[x] for x in token_features(w) if x in number])}
+    centres, stop = [], -1
+    for k in sorted(got):
+        if k > stop:
+            centres.append(k)
+            stop = k + CONTEXT
+    if not centres and words:
+        centres = [spare % len(words)]
+    win, state = np.zeros((len(centres), SPAN, WIDTH), dtype=np.int32), np.full((len(centres), SPAN), -1, dtype=np.int8)
+    for row, c in enumerate(centres):
+        for t in range(SPAN):
+            j = c - CONTEXT + t
+            if 0 <= j < len(words):
+                f = got.get(j, [])
+                win[row, t, : len(f)] = f
+                state[row, t] = int(bool(f) and y == 1)
+    return win, state
+
+
+def _fit_field(windows: np.ndarray, states: np.ndarray, often: np.ndarray, size: int, rounds: int = 150, l2: float = 1e-3) -> tuple[np.ndarray, float, np.ndarray]:
     """Maximum likelihood of the field on labelled windows by gradient steps with per-weight scaling.
 
-    ``windows`` (rows, tokens, features): feature numbers, 0 for none. ``states``: labels. ``mask``: which tokens exist.
+    ``windows`` (rows, tokens, features): feature numbers, 0 for none. ``states``: labels, below 0 for no token. ``often``: how often
+    each window occurs.
     """
     rows, span, _ = windows.shape
+    mask, states, many = states >= 0, np.maximum(states, 0).astype(np.int64), often.astype(np.float64)[:, None]
     theta, bias, step = np.zeros(size + 1), -2.0, np.zeros((2, 2))
     seen = [np.zeros(size + 1), 0.0, np.zeros((2, 2))]
-    total = max(1, rows)
+    total = max(1.0, float(often.sum()))
     for _ in range(rounds):
         emit = np.zeros((rows, span, 2))
         emit[:, :, 1] = np.where(mask, theta[windows].sum(axis=2) + bias, -60.0)
@@ -183,13 +209,13 @@ def _fit_field(windows: np.ndarray, states: np.ndarray, mask: np.ndarray, size:
             bwd[:, t] = x / x.sum(axis=1, keepdims=True)
         gamma = fwd * bwd
         gamma /= gamma.sum(axis=2, keepdims=True)
-        miss = np.where(mask, states - gamma[:, :, 1], 0.0)
+        miss = np.where(mask, states - gamma[:, :, 1], 0.0) * many
         g_theta = np.bincount(windows.ravel(), weights=np.repeat(miss[:, :, None], windows.shape[2], axis=2).ravel(), minlength=size + 1) / total - l2 * theta
         g_theta[0] = 0.0
         g_bias = float(miss.sum()) / total
         xi = fwd[:, :-1, :, None] * trans * (pot[:, 1:] * bwd[:, 1:])[:, :, None, :]
         xi /= xi.sum(axis=(2, 3), keepdims=True)
-        both = (mask[:, :-1] & mask[:, 1:])[:, :, None, None]
+        both = ((mask[:, :-1] & mask[:, 1:]) * many)[:, :, None, None]
         onehot = np.stack([1 - states, states], axis=2)
         truth = onehot[:, :-1, :, None] * onehot[:, 1:, None, :]
         g_step = ((truth - xi) * both).sum(axis=(0, 1)) / total - l2 * step
@@ -201,42 +227,15 @@ def _fit_field(windows: np.ndarray, states: np.ndarray, mask: np.ndarray, size:
     return theta, bias, step
 
 
-def fit(texts: list[str], labels: list[int], totals: dict[int, int] | None = None) -> ToxicModel:
-    """A model from labelled texts. Without toxic or clean rows every score is that of a text without hits.
+def _field(features: list[str], win: np.ndarray, state: np.ndarray, often: np.ndarray) -> ToxicModel:
+    theta, bias, step = _fit_field(win, state, often, len(features))
+    return ToxicModel({f: float(theta[i + 1]) for i, f in enumerate(features)}, float(bias), tuple(map(tuple, step.tolist())), (0.0, 1.0, 1.0))
 
-    Windows stand on featured tokens anywhere in the texts, ``WINDOWS`` of them picked by a hash. Where the texts are a sample of each
-    class, ``totals`` are the rows of all: the calibration weights its rows by them, so scores do not depend on the sample's shares.
-    """
-    y = np.array(labels, dtype=np.int64)
-    one: dict[str, str] = {}
-    words = [[one.setdefault(w, w) for w in WORD.findall(lowered(t))] for t in texts]
-    lexicon = sorted(_lexicon(words, y))
-    number = {f: i + 1 for i, f in enumerate(lexicon)}
-    span, width = 2 * CONTEXT + 1, len(PREFIXES) + 1
-
-    def features(w: str) -> list[int]:
-        return [number[f] for f in token_features(w) if f in number]
-
-    centres = [np.array([k for k, w in enumerate(ws) if features(w)] or [(i * 7919) % len(ws)] if ws else [], dtype=np.int32) for i, ws in enumerate(words)]
-    place_text = np.repeat(np.arange(len(words)), [len(c) for c in centres])
-    place_at = np.concatenate([np.zeros(0, dtype=np.int32), *centres])
-    if not len(place_at):
-        return ToxicModel({}, -4.0, ((0.0, 0.0), (0.0, 0.0)), (-4.0, 1.0, 0.0))
-    pick = np.argsort((np.arange(len(place_at)) * 2654435761) % (1 << 32))[:WINDOWS]
-    win = np.zeros((len(pick), span, width), dtype=np.int64)
-    state, mask = np.zeros((len(pick), span), dtype=np.int64), np.zeros((len(pick), span), dtype=bool)
-    for row, k in enumerate(pick):
-        i, c = int(place_text[k]), int(place_at[k])
-        for t in range(span):
-            j = c - CONTEXT + t
-            if 0 <= j < len(words[i]):
-                got = features(words[i][j])
-                mask[row, t] = True
-                win[row, t, : len(got)] = got
-                state[row, t] = int(bool(got) and y[i] == 1)
-    theta, bias, step = _fit_field(win, state, mask, len(lexicon))
-    model = ToxicModel({f: float(theta[i]) for f, i in number.items()}, float(bias), tuple(map(tuple, step.tolist())), (0.0, 1.0, 1.0))
-    x = np.array([(1.0, *_doc_features([p for _, _, p in model.tag(t)[0]])) for t in texts])
+
+def _calibrated(model: ToxicModel, x: np.ndarray, y: np.ndarray, totals: dict[int, int] | None) -> ToxicModel:
+    """Sets the calibration by a logistic fit on document features. Where the rows are a sample of each class, ``totals`` are the rows of
+    all: rows are weighted by them, so scores do not depend on the sample's shares."""
+    x = np.concatenate([np.ones((len(x), 1)), x], axis=1)
     share = np.ones(len(y))
     if totals:
         share = np.array([totals.get(v, 0) / max(1, int((y == v).sum())) for v in (0, 1)])[y]
@@ -251,23 +250,98 @@ def fit(texts: list[str], labels: list[int], totals: dict[int, int] | None = Non
     return model
 
 
+NOTHING = ToxicModel({}, -4.0, ((0.0, 0.0), (0.0, 0.0)), (-4.0, 1.0, 0.0))
+
+
+def fit(texts: list[str], labels: list[int], totals: dict[int, int] | None = None) -> ToxicModel:
+    """A model from labelled texts that one process holds; ``fit_on`` does the same on tables. Without toxic or clean rows, or words, every
+    score is that of a text without hits."""
+    toxic, y = sum(labels), np.array(labels, dtype=np.int64)
+    clean = len(labels) - toxic
+    counts = [(f, a, b) for f, (b, a) in feature_counts(texts, labels).items()]
+    if not toxic or not clean or not counts:
+        return NOTHING
+    features = lexicon(counts, sum(a + b >= least_count(toxic, clean) for _, a, b in counts), toxic, clean)
+    number = {f: i + 1 for i, f in enumerate(features)}
+    parts = [text_windows(WORD.findall(lowered(t)), v, number, i) for i, (t, v) in enumerate(zip(texts, labels, strict=True))]
+    win, state = (np.concatenate(p) for p in zip(*parts, strict=True))
+    model = _field(features, win, state, np.ones(len(win)))
+    return _calibrated(model, np.array([_doc_features([p for _, _, p in model.tag(t)[0]]) for t in texts]), y, totals)
+
+
 def held_out(id_col: str = "doc_id"):
     """Rows that no model is fitted on: CRC-32 of the id as text leaves 2 when divided by 4."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = SAMPLE_PER_CLASS) -> ToxicModel:
-    """Fits on at most ``per_class`` labelled rows of each class outside the held-out quarter, the smallest by hashed id.
+    """Fits on at most ``per_class`` labelled rows of each class outside the held-out quarter, the smallest by hashed id, by all windows of
+    their whole texts.
 
-    The sample's bound is ``2 * per_class`` rows whatever the input, so its ids may be broadcast and its texts come to the driver.
+    The bound is on labelled rows, whatever the input, so their ids may be broadcast. Texts stay on the executors: counts of features
+    are combined there, and the driver gets the features that may pass, distinct windows with their numbers, and two numbers a row.
+    Rows that share an id are one; null ids and labels are left out; a null text is empty.
     """
-    known = labels.where(~held_out(id_col) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(F.col("toxic").cast("int")).alias("_y"))
+    spark = docs.sparkSession
+    room = Room(spark)
+    try:
+        with batches_of(spark, 500):
+            return _fit_on(docs, labels, id_col, text_col, per_class, room)
+    finally:
+        room.close()
+
+
+def _fit_on(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, per_class: int, room: Room) -> ToxicModel:
+    known = labels.where(~held_out(id_col) & F.col(id_col).isNotNull() & F.col("toxic").isNotNull()).groupBy(id_col).agg(F.max(F.col("toxic").cast("int")).alias("_y"))
+    totals = {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}
     order = [F.xxhash64(F.lit("toxicity"), id_col), F.col(id_col)]
     part = [known.where(F.col("_y") == y).orderBy(*order).limit(per_class) for y in (0, 1)]
     chosen = part[0].unionByName(part[1])
-    rows = docs.select(id_col, text_or_empty(text_col).alias("_text")).join(F.broadcast(chosen), id_col).groupBy(id_col).agg(F.max("_y").alias("_y"), F.min("_text").alias("_text")).orderBy(*order).collect()
-    totals = {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}
-    return fit([r["_text"] for r in rows], [r["_y"] for r in rows], totals)
+    rows = docs.select(id_col, text_or_empty(text_col).alias("_text")).join(F.broadcast(chosen), id_col).groupBy(id_col).agg(F.min("_text").alias("text"), F.max("_y").alias("y"))
+    rows = room.stored(rows.select("text", "y", F.abs(F.xxhash64(F.lit("spare"), id_col) % 1_000_003).alias("spare")), "toxic-sample")
+    size = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    toxic, clean = size.get(1, 0), size.get(0, 0)
+    if not toxic or not clean:
+        return NOTHING
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            for lo in range(0, rb.num_rows, 250):
+                at = rb.slice(lo, 250)
+                got = feature_counts(at.column("text").to_pylist(), at.column("y").to_pylist())
+                pairs = list(got.values())
+                yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array([p[1] for p in pairs], pa.int64()), pa.array([p[0] for p in pairs], pa.int64())], names=["f", "a", "b"])
+
+    counts = rows.select("text", "y").mapInArrow(count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    counts = room.stored(counts.where("a + b >= 2"), "toxic-counts")
+    tried = counts.where(F.col("a") + F.col("b") >= least_count(toxic, clean)).count()
+    likely = counts.where(F.col("a") * (F.col("b") + 0.25) > 0).where(F.col("a") / toxic >= 9 * (F.col("b") + 0.25) / clean * (1 - 1e-9))
+    features = lexicon([(r["f"], r["a"], r["b"]) for r in likely.collect()], tried, toxic, clean)
+    number = {f: i + 1 for i, f in enumerate(features)}
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            win, state = [], []
+            for t, y, spare in zip(*[rb.column(c).to_pylist() for c in ("text", "y", "spare")], strict=True):
+                w, s = text_windows(WORD.findall(lowered(t)), y, number, spare)
+                win += [x.tobytes() for x in w]
+                state += [x.tobytes() for x in s]
+            yield pa.RecordBatch.from_arrays([pa.array(win, pa.binary()), pa.array(state, pa.binary())], names=["win", "state"])
+
+    windows = rows.mapInArrow(cut, "win binary, state binary").groupBy("win", "state").count().orderBy("win", "state").collect()
+    if not windows:
+        return NOTHING
+    win = np.frombuffer(b"".join([bytes(r["win"]) for r in windows]), dtype=np.int32).reshape(-1, SPAN, WIDTH)
+    state = np.frombuffer(b"".join([bytes(r["state"]) for r in windows]), dtype=np.int8).reshape(-1, SPAN)
+    model = _field(features, win, state, np.array([r["count"] for r in windows]))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            x = [_doc_features([p for _, _, p in model.tag(t)[0]]) for t in rb.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([rb.column("y"), *[pa.array([v[i] for v in x], pa.float64()) for i in (0, 1)]], names=["y", "u", "v"])
+
+    got = rows.mapInArrow(measure, "y int, u double, v double").orderBy("y", "u", "v").collect()
+    return _calibrated(model, np.array([(r["u"], r["v"]) for r in got]), np.array([r["y"] for r in got], dtype=np.int64), totals)
 
 
 def tag_toxic(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col: str = "text", spans: bool = True, least: float = 0.5) -> DataFrame:
@@ -289,6 +363,7 @@ def tag_toxic(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_c
             if spans:
                 cols.append(pa.array(found, pa.list_(struct)))
             yield pa.RecordBatch.from_arrays(cols, names=["id", "score", "spans"][: len(cols)])
+        tidy()
 
     schema = f"id {kind}, score double" + ", spans array<struct<start:long,stop:long,p:double>>" * spans
     return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).mapInArrow(run, schema)

@@ -234,11 +234,47 @@ def test_toxicity_held_out_accuracy_and_spans(spark):
     assert {r.doc_id for r in toxicity.drop_toxic(docs, model).collect()} == {i for i in range(600) if i % 5}
 
 
-def test_toxicity_windows_come_from_whole_texts(monkeypatch):
-    seen, fit_field = [], toxicity._fit_field
-    monkeypatch.setattr(toxicity, "_fit_field", lambda win, *rest: seen.append(len(win)) or fit_field(win, *rest))
-    toxicity.fit(["vileword " * 100] * 20 + ["plain words only"] * 20, [1] * 20 + [0] * 20)
-    assert seen == [20 * 100 + 20]
+def test_toxicity_windows_come_from_whole_texts():
+    """Every featured word is in a window, as a toxic token in a toxic text, wherever it stands."""
+    number = {"=vileword": 1, "vile": 2}
+    words = ["plain"] * 5000
+    for k in (0, 3, 40, 41, 2500, 4999):
+        words[k] = "vileword"
+    win, state = toxicity.text_windows(words, 1, number, 0)
+    assert (win[:, toxicity.CONTEXT, 0] == 1).all() and len(win) == 4 and ((win[:, :, 0] == 1) == (state == 1)).all()
+    assert int((state == 1).sum()) == 6 and (state[0][: toxicity.CONTEXT] == -1).all()
+    win, state = toxicity.text_windows(words, 0, number, 0)
+    assert (state < 1).all() and toxicity.text_windows([], 1, number, 3)[0].shape[0] == 0
+    assert toxicity.text_windows(["plain"] * 9, 0, number, 22)[0].shape[0] == 1
+
+
+def test_toxicity_fit_on_tables_equals_fit_on_texts(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        ws = ["w" + "".join(rng.choices("abcdefgh", k=4)) for _ in range(30)]
+        if i % 4 == 0:
+            ws[rng.randrange(30)] = rng.choice(["vileword", "nastyish", "grimly"])
+        rows.append((i, " ".join(ws), int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = toxicity.fit_on(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    known = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    want = toxicity.fit([t for _, t, _ in known], [y for _, _, y in known])
+    assert set(got.weights) == set(want.weights) and {"=vileword", "=nastyish", "=grimly"} <= set(got.weights)
+    assert all(abs(got.weights[f] - w) < 0.5 for f, w in want.weights.items())
+    scores = [[m.score([p for _, _, p in m.tag(t)[0]]) for _, t, _ in rows] for m in (got, want)]
+    assert max(abs(a - b) for a, b in zip(*scores, strict=True)) < 0.1
+
+
+def test_toxicity_scores_spread_on_few_labels(spark):
+    """Six toxic texts pass no bound on chance; the best features still tell held-out texts apart."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(["w" + "".join(rng.choices("abcdefgh", k=3)) for _ in range(25)] + (["vileword"] if i % 16 == 0 else [])), int(i % 16 == 0)) for i in range(130)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit_on(docs, docs)
+    score = {i: model.score([p for _, _, p in model.tag(t)[0]]) for i, t, _ in rows}
+    held = [(score[i], y) for i, _, y in rows if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert min(s for s, y in held if y) > sorted(s for s, y in held if not y)[int(0.9 * sum(1 - y for _, y in held))]
 
 
 def test_toxicity_scores_do_not_depend_on_the_sample_shares():
