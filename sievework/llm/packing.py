@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sievework.llm.common import stored, table, text_or_empty
+from sievework.llm.common import stored, table, text_or_empty, tidy
 
 LIMIT = 4096
 EOS = 1
 GRIDS = (16, 32, 64)
 WORDS_HELD = 300_000
-PARTS_HELD = 800_000
+PARTS_HELD = 600_000
+BASE = 1 << 16
 #: How the vocabulary's tokenizer cuts a word before it merges (its own pattern).
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 #: Characters that ``str.split`` takes for white space and the tokenizer does not.
@@ -38,8 +39,9 @@ class WordTokenizer:
     """Ids of whole texts, each distinct part tokenised once while it is held.
 
     This vocabulary's tokenizer drops white space and never merges over the cuts of ``PRETOKEN``, so a text's ids are those of its
-    parts in turn. Both caches are emptied when full, which costs time and changes nothing. A text that spells an added token, such as
-    the end of text, goes to the tokenizer whole.
+    parts in turn. Texts that this is not sure for go to the tokenizer whole. Ids are held as strings, a character above ``BASE`` for
+    each, so that words and texts are put together and taken apart by string functions. Lower case goes letter by letter, as the
+    tokenizer's does, and before the cuts. Both caches are emptied when full, which costs time and changes nothing.
     """
 
     def __init__(self, path: str):
@@ -50,47 +52,59 @@ class WordTokenizer:
         self.tok = Tokenizer.from_file(path)
         self.added = regex.compile("|".join(regex.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()) or r"(?!)")
         self.whole = Tokenizer.from_file(path)
+        self.marks, self.assigned = regex.compile(r"\p{M}"), set()
         self.tok.encode_special_tokens = True
         self.space = regex.compile(rf"[^\S{NO_SPACE}]+")
-        self.cut = regex.compile(PRETOKEN)
+        self.cut = regex.compile(rf"{PRETOKEN}|\n")
         vocab = self.tok.get_vocab()
         self.end = np.zeros(max(vocab.values()) + 1, dtype=bool)
         for piece, i in vocab.items():
             self.end[i] = piece.endswith("</w>")
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, str] = {}
+        self.parts: dict[str, str] = {"\n": "\n"}
 
     def _learn_parts(self, parts: list[str]) -> None:
         letters = [p for p in parts if p.isalpha()]
         ids = np.array(self.tok.encode(" ".join(letters), add_special_tokens=False).ids if letters else [], dtype="<u4")
         stops = np.flatnonzero(self.end[ids]) + 1 if len(ids) else np.array([], dtype=np.int64)
         if len(stops) == len(letters):
-            raw, at = ids.tobytes(), 0
-            for p, stop in zip(letters, (4 * stops).tolist(), strict=True):
-                self.parts[p] = raw[at:stop]
-                at = stop
+            every, stops = (ids + BASE).tobytes().decode("utf-32-le"), stops.tolist()
+            self.parts.update(zip(letters, [every[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=False)], strict=True))
             parts = [p for p in parts if p not in self.parts]
         for p, e in zip(parts, self.tok.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-            self.parts[p] = np.array(e.ids, dtype="<u4").tobytes()
+            self.parts[p] = "".join([chr(i + BASE) for i in e.ids])
+
+    def _apart(self, text: str, plain: str) -> bool:
+        """Whether a text spells an added token, or has characters on which versions of Unicode differ: unassigned ones, and marks that are
+        put in order."""
+        if self.added.search(text):
+            return True
+        if text.isascii():
+            return False
+        unseen = set(text).difference(self.assigned)
+        if any(unicodedata.category(c) == "Cn" for c in unseen):
+            return True
+        self.assigned |= unseen
+        return (plain != text or "İ" in text) and self.marks.search(plain) is not None
 
     def _words(self, text: str) -> list[str]:
         return [w for w in self.space.split(text) if w] if any(c in text for c in NO_SPACE) else text.split()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        whole = {i: np.array(self.whole.encode(s, add_special_tokens=False).ids, dtype="<u4") for i, s in enumerate(texts) if self.added.search(s)}
-        lists = [[] if i in whole else self._words(s if unicodedata.is_normalized("NFC", s) else unicodedata.normalize("NFC", s)) for i, s in enumerate(texts)]
+        plain = [s if s.isascii() or unicodedata.is_normalized("NFC", s) else unicodedata.normalize("NFC", s) for s in texts]
+        whole = {i: np.array(self.whole.encode(s, add_special_tokens=False).ids, dtype="<u4") for i, s in enumerate(texts) if self._apart(s, plain[i])}
+        lists = [[] if i in whole else self._words(s) for i, s in enumerate(plain)]
         if len(self.words) > WORDS_HELD:
             self.words.clear()
         if len(self.parts) > PARTS_HELD:
-            self.parts.clear()
-        new = set().union(*lists).difference(self.words)
-        cuts = {w: self.cut.findall(w if "Σ" in w or "İ" in w else w.lower()) for w in new}
-        self._learn_parts(list(set(itertools.chain.from_iterable(cuts.values())).difference(self.parts)))
-        parts = self.parts
-        for w, ps in cuts.items():
-            self.words[w] = b"".join([parts[p] for p in ps])
-        words = self.words
-        return [whole[i] if i in whole else np.frombuffer(b"".join([words[w] for w in ws]), dtype="<u4") for i, ws in enumerate(lists)]
+            self.parts = {"\n": "\n"}
+        new = list(set().union(*lists).difference(self.words))
+        if new:
+            flat = self.cut.findall("\n".join(new).replace("Σ", "σ").lower())
+            self._learn_parts(list(set(flat).difference(self.parts)))
+            self.words.update(zip(new, "".join(map(self.parts.__getitem__, flat)).split("\n"), strict=True))
+        word = self.words.__getitem__
+        return [whole[i] if i in whole else np.frombuffer("".join(map(word, ws)).encode("utf-32-le"), dtype="<u4") - BASE for i, ws in enumerate(lists)]
 
 
 @cache
@@ -130,6 +144,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, eos: int =
                     cols.append(pa.array(ids, pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+        tidy()
 
     schema = f"id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).mapInArrow(run, schema)

@@ -105,6 +105,21 @@ def test_word_ids_are_the_tokenizers_own(text):
     assert packing.WordTokenizer(path).encode([text])[0].tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
+def test_word_ids_of_random_unicode_are_the_tokenizers_own():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, own, rng = packing.WordTokenizer(path), Tokenizer.from_file(path), random.Random(1)
+    odd = [*"abcXYZ '.,!İıΣσςßǅÉé\u0300\u0301\u0307\x1c\x1d\x1e\x1f\x85\u2003\u3000\n\r\t\x0b 0123٣½Ⅷ日本語한글🙂👍🏽\u200d\u200b_-<>|/[]K\ufeff\u0345ẞﬁ", "'s", "'ll", "<|endoftext|>", "</w>", "İSTANBUL", "ΣΑΣ", "the ", " word"]
+    ranges = [(32, 0x3000), (0x1F000, 0x20000), (0, 0xD800)]
+    letter = lambda: rng.choice(odd) if rng.random() < 0.9 else chr(rng.randrange(*rng.choice(ranges)))
+    texts = ["".join(letter() for _ in range(rng.randrange(40))) for _ in range(10_000)]
+    for lo in range(0, len(texts), 100):
+        for text, ids in zip(texts[lo : lo + 100], tok.encode(texts[lo : lo + 100]), strict=True):
+            assert ids.tolist() == own.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 # sharding
 
 
