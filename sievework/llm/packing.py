@@ -29,6 +29,8 @@ GRIDS = (16, 32, 64)
 WORDS_HELD = 300_000
 PARTS_HELD = 600_000
 BASE = 1 << 16
+#: Stored with the pieces: runs of rows as they came, so that a row repeated without end falls to many groups when ranks are counted.
+SPREAD = "_spread"
 #: How the vocabulary's tokenizer cuts a word before it merges (its own pattern).
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 #: Characters that ``str.split`` takes for white space and the tokenizer does not.
@@ -299,15 +301,14 @@ def place(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
     shift = int(max(histogram.values(), default=1)).bit_length() + 1
     keys = (slots[:, 0] << shift) + slots[:, 1]
 
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("id", "piece", "start"), F.lit(salts)).cast("int"))
+    names = [c for c in pieces.columns if c != SPREAD]
+    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("id", "piece", "start", *[c for c in pieces.columns if c == SPREAD]), F.lit(salts)).cast("int"))
     sizes = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     within = Window.partitionBy("length", "_salt").orderBy("id", "piece")
     ranked = salted.withColumn("_rank", F.row_number().over(within) - 1).join(sizes, ["length", "_salt"]).withColumn("_rank", (F.col("_rank") + F.col("_before")).cast("long")).drop("_salt", "_before")
 
-    names = [c for c in pieces.columns]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
             length = rb.column("length").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -316,7 +317,7 @@ def place(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
             k = rank - row[:, 1]
             yield pa.RecordBatch.from_arrays([*[rb.column(c) for c in names], pa.array(row[:, 4] + k // np.maximum(row[:, 3], 1)), pa.array(row[:, 5] + k % np.maximum(row[:, 3], 1) * length)], names=[*names, "sequence_id", "offset"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema if f.name != SPREAD)
     return ranked.select(*names, "_rank").mapInArrow(run, f"{fields}, sequence_id long, offset long")
 
 
@@ -330,7 +331,8 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, limit: int = L
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return place(stored(token_pieces(docs, tokenizer, limit, eos, id_col, text_col), "pieces"), limit)
+    pieces = token_pieces(docs, tokenizer, limit, eos, id_col, text_col).withColumn(SPREAD, F.expr("monotonically_increasing_id() div 4096"))
+    return place(stored(pieces, "pieces"), limit)
 
 
 def op1_pattern_packing(spark, sf_dir: str) -> DataFrame:
