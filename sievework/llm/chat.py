@@ -1,8 +1,9 @@
 """Chat formatting in budgeted windows, with DataFrame functions only.
 
 Prefix sums of turn tokens place every turn on a line that is cut into cells; the turns inside a cell, or one that crosses a cut, are a
-window's new turns, so windows never split a turn. Each later window also repeats the system turn and as many of the last turns
-before it as fit the history allowance. Only the first occurrence of an assistant turn is a target.
+window's new turns, so windows never split a turn. Each later window also repeats the system turn and as many of the last turns of
+the window before as fit the history allowance and what its own turns leave of the budget. Only the first occurrence of an assistant
+turn is a target.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from sievework.llm.common import stored, table
 
 BUDGET = 2048
 HISTORY = 512
-LEAST_CELL = 256
 OVERHEAD = 4
 BLOCK = 256
 TURN, AGAIN, TEXT, END = "<|turn|>", "<|again|>", "<|text|>", "<|end|>"
@@ -41,7 +41,8 @@ def count_tokens(text: Column) -> Column:
 def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", target: str = "assistant") -> DataFrame:
     """``conv, window, formatted, loss, tokens``: formatted windows and the loss mask as spans of code points.
 
-    A window holds at most ``budget`` tokens (``OVERHEAD`` a turn included) unless one turn alone exceeds that. Rows are ordered by turn
+    A window holds at most ``budget`` tokens (``OVERHEAD`` a turn included) unless the system turn and one turn exceed that together;
+    then it holds these two, or the system turn alone. Rows are ordered by turn
     (null first), role, text; null role and text are empty; a null conversation id is one conversation. Repeated rows are turns.
     Sums run within blocks of ``BLOCK`` turn numbers and over block totals, and windows are groups of their own, so a conversation
     that holds a third of all rows is spread over many tasks.
@@ -64,16 +65,18 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int
     b = blocks.select(F.col("conv").alias("_conv"), F.col("block").alias("_block"), "_t0", "_n0", "_sys")
     rows = rows.join(b, F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("block") == F.col("_block")))
     rows = rows.withColumn("pos", F.col("_n0") + F.col("_rn") - 1).withColumn("start", F.col("_t0") + F.col("_in"))
-    cell = F.greatest(F.lit(LEAST_CELL).cast("long"), F.lit(budget - history).cast("long") - F.col("_sys"))
+    rows = rows.withColumn("_room", F.lit(budget).cast("long") - F.col("_sys"))
+    cell = F.greatest(F.lit(1).cast("long"), F.col("_room") - history, F.expr("_room div 2"))
     rows = rows.withColumn("_cell", cell).withColumn("_c", F.expr("start div _cell"))
     rows = rows.withColumn("window", 2 * F.col("_c") + F.expr("cast((start + tokens - 1) div _cell > _c as int)"))
-    rows = stored(rows.select("conv", "pos", "role", "text", "tokens", "start", "window", ((F.col("pos") == 0) & (F.col("role") == "system")).alias("system")), "chat-turns")
+    rows = stored(rows.select("conv", "pos", "role", "text", "tokens", "start", "window", "_room", ((F.col("pos") == 0) & (F.col("role") == "system")).alias("system")), "chat-turns")
 
-    spans = rows.groupBy("conv", "window").agg(F.max(F.col("start") + F.col("tokens")).alias("stop"), F.min("pos").alias("low"))
-    spans = spans.withColumn("following", F.lead("window").over(Window.partitionBy("conv").orderBy("window")))
-    s = spans.select(F.col("conv").alias("_conv"), F.col("window").alias("_window"), "stop", "following")
+    spans = rows.groupBy("conv", "window").agg(F.max(F.col("start") + F.col("tokens")).alias("stop"), F.min("pos").alias("low"), (F.min("_room") - F.sum("tokens")).alias("left"))
+    by_window = Window.partitionBy("conv").orderBy("window")
+    spans = spans.withColumn("following", F.lead("window").over(by_window)).withColumn("allowed", F.greatest(F.lit(0).cast("long"), F.least(F.lit(history).cast("long"), F.lead("left").over(by_window))))
+    s = spans.select(F.col("conv").alias("_conv"), F.col("window").alias("_window"), "stop", "following", "allowed")
     near = rows.join(s, F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("window") == F.col("_window")))
-    repeated = F.col("following").isNotNull() & (F.col("start") >= F.col("stop") - history) & ~F.col("system")
+    repeated = F.col("following").isNotNull() & (F.col("start") >= F.col("stop") - F.col("allowed")) & ~F.col("system")
     places = F.array(F.struct(F.col("window").alias("w"), F.lit(False).alias("again")), F.struct(F.when(repeated, F.col("following")).alias("w"), F.lit(True).alias("again")))
     new = near.select("conv", "pos", "role", "text", "tokens", F.explode(places).alias("p")).where(F.col("p.w").isNotNull())
     new = new.select("conv", F.col("p.w").alias("window"), F.col("p.again").alias("again"), "pos", "role", "text", "tokens")
@@ -149,16 +152,18 @@ with given as (
     first_value(role) over w as role0, first_value(tokens) over w as tokens0, first_value(body + name) over w as size0
   from counted window w as (partition by conv_id order by turn nulls first, role, text)
 ), celled as (
-  select *, greatest(256, 1536 - case when role0 = 'system' then tokens0 else 0 end)::bigint as cell from placed
+  select *, greatest(1, room - 512, room // 2)::bigint as cell
+  from (select *, 2048 - case when role0 = 'system' then tokens0 else 0 end as room from placed)
 ), windowed as (
   select *, 2 * (start // cell) + ((start + tokens - 1) // cell > start // cell)::int as win from celled
 ), spans as (
-  select conv_id, win, max(start + tokens) as stop, min(pos) as low, lead(win) over (partition by conv_id order by win) as following
-  from windowed group by conv_id, win
+  select conv_id, win, stop, low, lead(win) over w as following, greatest(0, least(512, lead(own_left) over w)) as allowed
+  from (select conv_id, win, max(start + tokens) as stop, min(pos) as low, min(room) - sum(tokens) as own_left from windowed group by conv_id, win)
+  window w as (partition by conv_id order by win)
 ), chars as (
   select w.conv_id,
     sum(8 + name + 8 + body + 7)
-    + sum(case when following is not null and start >= stop - 512 and not (pos = 0 and role = 'system') then 9 + name + 8 + body + 7 else 0 end)
+    + sum(case when following is not null and start >= stop - allowed and not (pos = 0 and role = 'system') then 9 + name + 8 + body + 7 else 0 end)
     + sum(case when pos = low and low > 0 and role0 = 'system' then 9 + size0 + 8 + 7 else 0 end) as formatted_chars
   from windowed w join spans s on w.conv_id = s.conv_id and w.win = s.win group by w.conv_id
 )
