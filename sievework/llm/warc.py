@@ -80,7 +80,7 @@ def read_payloads(spark, path: str) -> DataFrame:
 def parse_header(header: Column) -> dict[str, Column]:
     text = header.cast("string")
     field = lambda name: F.regexp_extract(text, rf"\n{name}: ([^\r\n]*)\r\n", 1)
-    return {"record_type": field("WARC-Type"), "source_id": field("X-Source-ID"), "refers_to": field("X-Refers-To-ID"), "target": field("WARC-Target-URI"), "digest": field("WARC-Payload-Digest")}
+    return {"record_type": field("WARC-Type"), "source_id": field("X-Source-ID"), "refers_to": field("X-Refers-To-ID"), "target": field("WARC-Target-URI"), "digest": field("WARC-Payload-Digest"), "length": field("Content-Length"), "payload_sha256": field("X-Payload-SHA256")}
 
 
 def read_records(spark, path: str) -> DataFrame:
@@ -92,15 +92,31 @@ def read_records(spark, path: str) -> DataFrame:
     return both.withColumn("record", F.concat("header", "block", F.lit(b"\r\n\r\n")))
 
 
+def parse_record(record: Column) -> tuple[Column, Column]:
+    """Header (with its blank line) and block of a record's WARC form; a header holds no blank line before its end."""
+    head = F.instr(record.cast("string"), "\r\n\r\n") + 3
+    size = F.octet_length(F.substring(record.cast("string"), F.lit(1), head))
+    return F.substring(record, F.lit(1), size), F.substring(record, size + 1, F.octet_length(record) - size - 4)
+
+
 def read_index(spark, path: str) -> DataFrame:
-    """One row per record with its full payload's length and digest, taken from the stored bytes: headers joined to digests."""
-    paid = read_payloads(spark, path).select("payload_key", F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"))
-    head = spark.read.parquet(f"{path}/headers")
+    """One row per record with its full payload's length and digest, taken from the rebuilt records.
+
+    Responses are put together and taken apart again; a revisit takes what was found for the response of its payload. Only lengths and
+    digests travel for that. A record whose length or digest is not what its header says stops the read.
+    """
+    records = read_records(spark, path)
+    header, block = parse_record(F.col("record"))
+    own = records.where(F.col("record_type") == "response").select(header.alias("header"), block.alias("block"))
     parsed = parse_header(F.col("header"))
-    head = head.select("payload_key", *[c.alias(k) for k, c in parsed.items()])
+    own = own.select(*[c.alias(k) for k, c in parsed.items()], F.octet_length("block").cast("long").alias("payload_bytes"), base32_sha1(F.col("block")).alias("payload_digest"))
+    good = (F.col("digest") == F.concat(F.lit("sha1:"), F.col("payload_digest"))) & (F.col("length") == F.col("payload_bytes").cast("string"))
+    own = own.withColumn("payload_digest", F.when(good, F.col("payload_digest")).otherwise(F.raise_error(F.lit("a record does not match its header"))))
+    found = own.groupBy("payload_sha256").agg(F.max("payload_bytes").alias("payload_bytes"), F.max("payload_digest").alias("payload_digest"))
+    again = spark.read.parquet(f"{path}/headers").select(*[c.alias(k) for k, c in parsed.items()]).where(F.col("record_type") == "revisit").join(found, "payload_sha256")
     good = F.col("digest") == F.concat(F.lit("sha1:"), F.col("payload_digest"))
-    out = head.join(paid, "payload_key")
-    return out.withColumn("payload_digest", F.when(good, F.col("payload_digest")).otherwise(F.raise_error(F.lit("header and payload digests differ"))))
+    again = again.withColumn("payload_digest", F.when(good, F.col("payload_digest")).otherwise(F.raise_error(F.lit("a revisit does not match its response"))))
+    return own.unionByName(again)
 
 
 def op7_content_addressed_warc(spark, sf_dir: str) -> DataFrame:
