@@ -53,36 +53,51 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _code(col: Column, bits: int) -> Column:
-    """The grid coordinate of a category: a hash, so that no dictionary of values is gathered. Null is a value of its own."""
-    return F.pmod(F.xxhash64(F.coalesce(col.cast("string"), F.lit("\x00null"))), F.lit(1 << bits)).cast("int")
+#: Bytes of a category that place it on its axis, after what all its values begin with.
+CODE_BYTES = 6
 
 
-def hilbert_order(df: DataFrame, categories: Sequence[str], numbers: Sequence[str], ties: Sequence[str], bits: int = BITS, out: str = "hilbert") -> DataFrame:
-    """Adds the curve index and stores the rows in curve order with ``_mid``, a growing row number with gaps.
+def _code(col: Column, skip: int) -> Column:
+    """A number in the order of the category's values: its ``CODE_BYTES`` bytes after the first ``skip``. Null comes before all."""
+    part = F.hex(F.substring(col.cast("string").cast("binary"), skip + 1, CODE_BYTES))
+    return F.when(col.isNull(), F.lit(-1.0)).otherwise(F.conv(F.rpad(part, 2 * CODE_BYTES, "0"), 16, 10).cast("double"))
 
-    Categories are hashed to the grid, numbers cut at their approximate quantiles (one small aggregate; nulls go to cell 0).
-    ``df`` is read twice (quantiles, sort), so it should be small or stored.
+
+def _shared_start(low: str | None, high: str | None) -> int:
+    """How many bytes all values between two begin with."""
+    a, b = (low or "").encode(), (high or "").encode()
+    return next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+
+def hilbert_index_column(df: DataFrame, categories: Sequence[str], numbers: Sequence[str], bits: int = BITS, out: str = "hilbert") -> DataFrame:
+    """Adds the curve index of each row.
+
+    Categories stand on their axis in the order of their values, by what follows the bytes that all values share, so a run of the curve
+    covers a range of them. All axes are cut at approximate quantiles (two small aggregates; nulls go to cell 0).
     """
     cells = 1 << bits
     at = [i / cells for i in range(1, cells)]
-    edges = [[] for _ in numbers]
-    if numbers:
-        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), at, 20_000).alias(f"e{i}") for i, c in enumerate(numbers)]).first()
-        edges = [list(v or []) for v in row]
+    skips = []
+    if categories:
+        row = df.agg(*[f(F.col(c).cast("string")).alias(f"{n}{i}") for i, c in enumerate(categories) for n, f in (("a", F.min), ("b", F.max))]).first()
+        skips = [_shared_start(row[f"a{i}"], row[f"b{i}"]) for i in range(len(categories))]
+    axes = [*[_code(F.col(c), k) for c, k in zip(categories, skips, strict=True)], *[F.col(c).cast("double") for c in numbers]]
+    row = df.agg(*[F.percentile_approx(x, at, 20_000).alias(f"e{i}") for i, x in enumerate(axes)]).first()
+    edges = [np.asarray(list(v or []), dtype=np.float64) for v in row]
 
     @F.pandas_udf(T.LongType())
-    def index(cats: pd.DataFrame, nums: pd.DataFrame) -> pd.Series:
-        cols = [cats.iloc[:, i].to_numpy(dtype=np.int64) for i in range(1, cats.shape[1])]
-        for i in range(1, nums.shape[1]):
-            v = nums.iloc[:, i].to_numpy(dtype=np.float64)
-            cols.append(np.where(np.isnan(v), 0, np.searchsorted(np.asarray(edges[i - 1], dtype=np.float64), v, side="right")))
+    def index(axis: pd.DataFrame) -> pd.Series:
+        cols = []
+        for i, e in enumerate(edges):
+            v = axis.iloc[:, i].to_numpy(dtype=np.float64)
+            cols.append(np.where(np.isnan(v), 0, np.searchsorted(e, v, side="right")))
         return pd.Series(hilbert_index(np.stack(cols, axis=1), bits))
 
-    cats = F.struct(F.lit(0).alias("z"), *[_code(F.col(c), bits).alias(f"c{i}") for i, c in enumerate(categories)])
-    nums = F.struct(F.lit(0.0).alias("z"), *[F.col(c).cast("double").alias(f"n{i}") for i, c in enumerate(numbers)])
-    keyed = df.withColumn(out, index(cats, nums))
-    keys = [F.col(out), *[F.col(t) for t in ties]]
+    return df.withColumn(out, index(F.struct(*[x.alias(f"x{i}") for i, x in enumerate(axes)])))
+
+
+def in_order(keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stores the rows in the order of ``keys`` with ``_mid``, a growing row number with gaps."""
     return stored(keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id()), "hilbert")
 
 
@@ -126,17 +141,24 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, law: str = "rows", bi
     """Shards documents by language, source and size along a Hilbert curve.
 
     Returns id, ``size`` (UTF-8 bytes of the text, none if null, plus 8), ``text_crc32``, the categories, ``hilbert``, ``law``,
-    ``shard`` and ``slot``. Rows of one cell are ordered by the text's CRC and id, so equal texts of one cell stay together. Texts
-    are read once; only these small columns are sorted. Null categories and ids are values like any other; an empty table gives no
-    rows; other columns are ignored.
+    ``shard`` and ``slot``. Equal texts stand together, at the smallest index among them, so only a border between two shards parts
+    them. Texts are read once; only these small columns are sorted. Null categories are values of their own, before all others, and
+    null ids values like any other; an empty table gives no rows; other columns are ignored.
     """
     text = text_or_empty(text_col)
-    base = docs.select(F.col(id_col), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), *[F.col(c).alias(f"cat_{c}") for c in categories])
-    ordered = hilbert_order(stored(base, "shard-base"), [f"cat_{c}" for c in categories], ["size"], ["text_crc32", id_col], bits)
-    return cut_runs(ordered, shards, law, "size").withColumn("law", F.lit(law))
+    base = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("_same"), *[F.col(c).alias(f"cat_{c}") for c in categories])
+    keyed = hilbert_index_column(stored(base, "shard-base"), [f"cat_{c}" for c in categories], ["size"], bits)
+    keyed = stored(keyed, "shard-keyed")
+    group = ["size", "text_crc32", "_same"]
+    place = keyed.groupBy(*group).agg(F.min("hilbert").alias("_place"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    keyed = keyed.join(place, group, "left").withColumn("_place", F.coalesce("_place", "hilbert"))
+    ordered = in_order(keyed, ["_place", *group, "id"])
+    return cut_runs(ordered, shards, law, "size").drop("_place", "_same").withColumn("law", F.lit(law)).withColumnRenamed("id", id_col)
 
 
 def op2_hilbert_sharding(spark, sf_dir: str) -> DataFrame:
-    """All documents in 24 shards under the law ``rows``."""
-    out = shard_documents(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert")
+    """All documents in 24 shards under the law ``rows``, each with its shard's ranges (24 rows, so they are broadcast)."""
+    out = stored(shard_documents(table(spark, sf_dir, "documents")), "shards")
+    ranges = extents(out, ["size", "cat_lang", "cat_source"])
+    own = ["doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert"]
+    return out.join(F.broadcast(ranges), "shard").select(*own, "min_size", "max_size", *[f"{n}_cat_{c}" for c in ("lang", "source") for n in ("min", "max")])
