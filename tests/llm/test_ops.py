@@ -77,6 +77,14 @@ def test_packing_odd_rows(odd, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
+def test_packing_of_one_row_without_end(spark):
+    """A row repeated many times falls to many groups when ranks are counted, and is packed once each."""
+    same = spark.range(0, 30_000, 1, 4).select(F.lit(5).alias("doc_id"), F.lit("the same text").alias("text"))
+    rows = packing.pack_documents(same).collect()
+    check_layout(rows, 4096)
+    assert len(rows) == 30_000
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_uses_each_length_once_and_is_near_the_bound(seed):
     rng = np.random.default_rng(seed)
@@ -146,6 +154,46 @@ def test_shards_hold_the_law(spark, odd, empty):
     assert sharding.shard_documents(empty).count() == 0
 
 
+def test_shards_prune_and_keep_equal_texts_together(spark):
+    """Ranges of language, source and size rule out far more shards than those of hashed shards do; copies are parted by borders only."""
+    rows = sharding.op2_hilbert_sharding(spark, SMALL).collect()
+    docs = {r.doc_id: r for r in documents(spark).collect()}
+    hashed = {i: zlib.crc32(str(i).encode()) % 24 for i in docs}
+    own = {r.doc_id: r.shard for r in rows}
+
+    def read(shard_of):
+        total = 0
+        for f in (lambda d: d.lang, lambda d: d.source, lambda d: len(d.text or "")):
+            spans = {}
+            for i, d in docs.items():
+                v = f(d)
+                lo, hi = spans.get(shard_of[i], (v, v))
+                spans[shard_of[i]] = (min(lo, v), max(hi, v))
+            values = sorted(f(d) for d in docs.values())
+            total += sum(lo <= v <= hi for v in (values[0], values[len(values) // 2], values[-1]) for lo, hi in spans.values())
+        return total
+
+    assert read(own) < 0.7 * read(hashed)
+    for r in rows:
+        assert r.min_size <= r.size <= r.max_size and r.min_cat_lang <= docs[r.doc_id].lang <= r.max_cat_lang and r.min_cat_source <= docs[r.doc_id].source <= r.max_cat_source
+    groups = {}
+    for i, d in docs.items():
+        groups.setdefault(d.text, set()).add(own[i])
+    assert sum(len(g) > 1 for g in groups.values()) <= 23 and all(max(g) - min(g) == len(g) - 1 for g in groups.values())
+    where = sorted((r.shard, r.slot, docs[r.doc_id].text) for r in rows)
+    runs = Counter(t for k, (*_, t) in enumerate(where) if k == 0 or where[k - 1][2] != t)
+    assert max(runs.values()) == 1
+
+
+def test_category_axis_follows_the_values_order(spark):
+    values = ["site-www-alpha", "site-www-beta", "site-www-b", None, "site-www-é", "site-www-"]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "c string, n int")
+    skip = sharding._shared_start("site-www-", "site-www-é")
+    got = {r.c: r.x for r in df.select("c", sharding._code(F.col("c"), skip).alias("x")).collect()}
+    assert skip == 9 and sorted(got, key=lambda v: got[v]) == sorted(got, key=lambda v: (v is not None, (v or "").encode()))
+    assert sharding._shared_start(None, None) == 0 and sharding._shared_start("ab", "abc") == 2
+
+
 def test_bytes_law_is_near_equal(spark):
     rows = sharding.shard_documents(documents(spark), 6, "bytes").collect()
     total = Counter()
@@ -185,6 +233,30 @@ def test_windows_keep_budget_system_turn_and_single_targets(spark):
         assert all(s.start + s.length <= len(w.formatted) for s in w.loss)
 
 
+def test_random_turns_keep_the_budget(spark):
+    """Windows hold at most the budget unless the system turn and one turn exceed it, for any sizes."""
+    rng = random.Random(6)
+    rows = []
+    for c in range(60):
+        most = rng.choice([5, 40, 120, 300])
+        if c % 3:
+            rows.append((c, 0, "system", "s " * rng.choice([0, 10, 90, 150, 196, 230])))
+        rows += [(c, k, rng.choice(["user", "assistant"]), "w " * rng.randrange(most)) for k in range(1, rng.randrange(2, 40))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    size = {}
+    for c, _, role, text in rows:
+        size.setdefault(c, []).append((role, len(text.split()) + chat.OVERHEAD))
+    repeated = 0
+    for w in chat.parse_windows(chat.format_windows(df, 200, 60)).collect():
+        head = size[w.conv][0][1] if size[w.conv][0][0] == "system" else 0
+        counts = [(t, len(t.text.split()) + chat.OVERHEAD) for t in w.turns]
+        assert w.tokens == sum(n for _, n in counts)
+        repeated += sum(t.again and t.role != "system" for t, _ in counts)
+        fresh = [n for t, n in counts if not t.again and t.role != "system"]
+        assert w.tokens <= 200 or (len(fresh) <= 1 and w.tokens == head + sum(fresh) and len(counts) <= 2)
+    assert repeated > 50
+
+
 # media
 
 
