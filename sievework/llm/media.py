@@ -272,7 +272,7 @@ FEATURES = "id {id}, n_bytes long, payload_bytes long, payload_sha256 string, ta
 def media_features(blobs: DataFrame) -> DataFrame:
     """Reads stored blobs back: sniffs the type, decodes the samples of a proven WAV and describes both.
 
-    ``feature``: proven type, samples, their mean, the number of distinct values, and each embedded medium with its span. A blob
+    ``feature``: proven type, samples, their rate, mean and number of distinct values, and each embedded medium with its span. A blob
     that is no WAV gives null payload values. Equal blobs give equal values.
     """
     kind = blobs.schema["id"].dataType.simpleString()
@@ -288,7 +288,7 @@ def media_features(blobs: DataFrame) -> DataFrame:
                     values, what = (None, None, None), ""
                 else:
                     values = (len(pay), hashlib.sha256(pay).hexdigest(), zlib.crc32(pay[-TAIL:]))
-                    what = f";samples={len(pay)};rate={struct.unpack_from('<I', blob, 24)[0]};distinct={len(set(pay))}"
+                    what = f";samples={len(pay)};rate={struct.unpack_from('<I', blob, 24)[0]};mean={sum(pay) / max(1, len(pay)):.4f};distinct={len(set(pay))}"
                 inside = ",".join(f"{t}@{s}+{e - s}" for t, s, e in inner)
                 for col, v in zip(out, (*values, len(blob), hashlib.sha256(blob).hexdigest(), f"type={actual}{what};embedded={inside}"), strict=True):
                     col.append(v)

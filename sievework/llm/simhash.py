@@ -316,7 +316,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     with the neighbour in size that they meet most, and ``TURNS`` times in a mixed order, which joins most large groups at a few
     comparisons a row; then all rows of a key that are still apart are compared with each other. Only pairs of numbers are made for
     that, one for each key that a pair shares; pairs that share too few to be similar go, and the sets of the others are made from
-    their texts to decide them. Rows that share an id are one document; null text is empty. The result is stored; what led to it is
+    their texts to decide them. Rows that share an id, of any type with an order, are one document; rows without one are left out; null
+    text is empty; an empty table gives no rows. The result is stored; what led to it is
     deleted.
     """
     room = Room(docs.sparkSession)
@@ -330,7 +331,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def _similar(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float, room: Room) -> DataFrame:
     spark, stored = docs.sparkSession, room.stored
     ensure_checkpoint_dir(spark)
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     total = rows.count()
     common, place = _common_shingles(rows, total, shingle)
 
@@ -347,7 +349,7 @@ def _similar(docs: DataFrame, id_col: str, text_col: str, shingle: int, similari
                 yield pa.RecordBatch.from_arrays(cols, names=["id", "node", "n", "first"])
         tidy()
 
-    prints = stored(rows.mapInArrow(run, "id long, node long, n int, first binary"), "near-sets")
+    prints = stored(rows.mapInArrow(run, f"id {kind}, node long, n int, first binary"), "near-sets")
     nodes = stored(prints.groupBy("node").agg(F.min("id").alias("least")), "near-nodes")
     alone = prints.join(nodes.select("node", F.col("least").alias("id")), ["node", "id"]).dropDuplicates(["node", "id"])
     marks = min(1 << 27, max(1 << 16, 16 * total))
