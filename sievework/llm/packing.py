@@ -26,9 +26,8 @@ from sievework.llm.common import stored, table, text_or_empty, tidy
 LIMIT = 4096
 EOS = 1
 GRIDS = (16, 32, 64)
-WORDS_HELD = 300_000
-PARTS_HELD = 600_000
-BASE = 1 << 16
+WORDS_HELD = 1_000_000
+PARTS_HELD = 1_000_000
 #: Stored with the pieces: runs of rows as they came, so that a row repeated without end falls to many groups when ranks are counted.
 SPREAD = "_spread"
 #: How the vocabulary's tokenizer cuts a word before it merges (its own pattern).
@@ -37,11 +36,22 @@ PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N
 NO_SPACE = "\x1c\x1d\x1e\x1f"
 
 
+class Held(dict):
+    """What is known of words; asking for one that is not gives a line break and notes it in ``new``."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> str:
+        self.new.append(word)
+        return "\n"
+
+
 class WordTokenizer:
     """Ids of whole texts, each distinct part tokenised once while it is held.
 
     This vocabulary's tokenizer drops white space and never merges over the cuts of ``PRETOKEN``, so a text's ids are those of its
-    parts in turn. Texts that this is not sure for go to the tokenizer whole. Ids are held as strings, a character above ``BASE`` for
+    parts in turn. Texts that this is not sure for go to the tokenizer whole. Ids are held as strings, a character above ``base`` for
     each, so that words and texts are put together and taken apart by string functions. Lower case goes letter by letter, as the
     tokenizer's does, and before the cuts. Both caches are emptied when full, which costs time and changes nothing.
     """
@@ -60,9 +70,11 @@ class WordTokenizer:
         self.cut = regex.compile(rf"{PRETOKEN}|\n")
         vocab = self.tok.get_vocab()
         self.end = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        #: Two bytes an id where that keeps clear of surrogates.
+        self.base, self.codec, self.unit = (256, "utf-16-le", "<u2") if len(self.end) + 256 <= 0xD800 else (1 << 16, "utf-32-le", "<u4")
         for piece, i in vocab.items():
             self.end[i] = piece.endswith("</w>")
-        self.words: dict[str, str] = {}
+        self.words = Held()
         self.parts: dict[str, str] = {"\n": "\n"}
 
     def _learn_parts(self, parts: list[str]) -> None:
@@ -70,11 +82,11 @@ class WordTokenizer:
         ids = np.array(self.tok.encode(" ".join(letters), add_special_tokens=False).ids if letters else [], dtype="<u4")
         stops = np.flatnonzero(self.end[ids]) + 1 if len(ids) else np.array([], dtype=np.int64)
         if len(stops) == len(letters):
-            every, stops = (ids + BASE).tobytes().decode("utf-32-le"), stops.tolist()
+            every, stops = (ids + self.base).astype(self.unit).tobytes().decode(self.codec), stops.tolist()
             self.parts.update(zip(letters, [every[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=False)], strict=True))
             parts = [p for p in parts if p not in self.parts]
         for p, e in zip(parts, self.tok.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-            self.parts[p] = "".join([chr(i + BASE) for i in e.ids])
+            self.parts[p] = "".join([chr(i + self.base) for i in e.ids])
 
     def _apart(self, text: str, plain: str) -> bool:
         """Whether a text spells an added token, or has characters on which versions of Unicode differ: unassigned ones, and marks that are
@@ -100,13 +112,21 @@ class WordTokenizer:
             self.words.clear()
         if len(self.parts) > PARTS_HELD:
             self.parts = {"\n": "\n"}
-        new = list(set().union(*lists).difference(self.words))
-        if new:
+        word, found, asked = self.words.__getitem__, [], [0]
+        for ws in lists:
+            found.append("".join(map(word, ws)))
+            asked.append(len(self.words.new))
+        if asked[-1]:
+            missed, self.words.new = self.words.new, []
+            new = list(set(missed))
             flat = self.cut.findall("\n".join(new).replace("Σ", "σ").lower())
             self._learn_parts(list(set(flat).difference(self.parts)))
             self.words.update(zip(new, "".join(map(self.parts.__getitem__, flat)).split("\n"), strict=True))
-        word = self.words.__getitem__
-        return [whole[i] if i in whole else np.frombuffer("".join(map(word, ws)).encode("utf-32-le"), dtype="<u4") - BASE for i, ws in enumerate(lists)]
+            for i, (a, b) in enumerate(itertools.pairwise(asked)):
+                if b > a:
+                    first, *rest = found[i].split("\n")
+                    found[i] = "".join([first, *itertools.chain.from_iterable(zip(map(word, missed[a:b]), rest, strict=True))])
+        return [whole[i] if i in whole else np.frombuffer(s.encode(self.codec), dtype=self.unit).astype("<u4") - np.uint32(self.base) for i, s in enumerate(found)]
 
 
 @cache
