@@ -31,11 +31,13 @@ from sievework.llm.common import Room, batches_of, stored, table, text_or_empty,
 
 LENGTH = 400
 ORDER = 13
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 BUCKET_BYTES = 8 << 20
 SHORT_KEY = 40
 #: Steps whose answers decide what is cut: their keys are digests of the strings.
 DECIDING = (2, 4, 5)
+#: Deciding steps may send more and wider keys, so they have this many bits more of buckets.
+DECIDING_BITS = 2
 #: Documents, and blocks with their replies, that cross to Python at once.
 DOCS_AT_ONCE, BLOCKS_AT_ONCE = 1000, 4
 
@@ -114,17 +116,35 @@ class Block:
         return out
 
     def strings(self, at: np.ndarray, length: int | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct strings at these places as rows (key, digest high, digest low) in order, each place's row, and the counts.
+        """Distinct strings at these places as rows (key, digest high, digest low) in order, each sorted place's row, and the order.
 
-        Nearly always keys alone tell a block's strings apart; then their order is that of ``told``.
+        Nearly always keys alone tell a block's strings apart; then the rows' order is that of ``told``.
         """
-        rows = np.concatenate([self.keys(at, length)[:, None], self.digests(at, length)], axis=1)
-        return _distinct(rows)
+        keys = self.keys(at, length)
+        order = np.argsort(keys, kind="stable")
+        digests = self.digests(at[order], length[order] if isinstance(length, np.ndarray) else length)
+        keys = keys[order]
+        new = np.ones(len(keys), dtype=bool)
+        new[1:] = keys[1:] != keys[:-1]
+        if (~new[1:] & (digests[1:] != digests[:-1]).any(axis=1)).any():
+            again = np.lexsort((digests[:, 1], digests[:, 0], keys))
+            order, digests, keys = order[again], digests[again], keys[again]
+            new[1:] = (keys[1:] != keys[:-1]) | (digests[1:] != digests[:-1]).any(axis=1)
+        return np.concatenate([keys[new, None], digests[new]], axis=1), np.cumsum(new) - 1, order
 
     def told(self, at: np.ndarray, length: int | np.ndarray, count: int) -> np.ndarray:
         """Each place's row among the ``count`` distinct strings, without digests where keys tell them apart."""
         keys, inverse, _ = _counted(self.keys(at, length), 64)
-        return inverse if len(keys) == count else self.strings(at, length)[1]
+        if len(keys) == count:
+            return inverse
+        _, row, order = self.strings(at, length)
+        inverse[order] = row
+        return inverse
+
+    def sent(self, at: np.ndarray, length: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct strings and whether each is at more than one of these places."""
+        rows, row, _ = self.strings(at, length)
+        return rows, np.bincount(row, minlength=len(rows)) > 1
 
     def cover(self, period: int, residues: np.ndarray, length: int) -> np.ndarray:
         """Cover positions whose prefix of ``length`` bytes ends inside the document."""
@@ -232,7 +252,7 @@ class Method:
     def rows(self, keys: np.ndarray, flags: np.ndarray, step: int):
         """Sorted distinct keys or digests cut by bucket: ``(bucket, keys, flags)``."""
         if step in DECIDING:
-            bucket = (keys[:, 0] >> np.uint64(64 - self.bucket_bits)).astype(np.int64)
+            bucket = (keys[:, 0] >> np.uint64(64 - self.bucket_bits - DECIDING_BITS)).astype(np.int64)
             cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)]
             for a, b in itertools.pairwise(cuts):
                 if b > a:
@@ -260,8 +280,7 @@ class Method:
         5: runs of ``words`` words that are shorter than ``length``, which longer strings do not cover.
         """
         if step == 5:
-            strings, _, m = b.strings(*b.short_windows(self.words, self.length))
-            return strings, m > 1
+            return b.sent(*b.short_windows(self.words, self.length))
         period, residues = difference_cover(self.order)
         cover = b.cover(period, residues, self.prefix)
         ranks, inverse, n = _counted(b.keys(cover, self.prefix), self.key_bits(1))
@@ -275,8 +294,7 @@ class Method:
         last = last[last >= b.starts[doc]]
         known = np.unique(np.concatenate([tied[full[tied]] if len(tied) else tied, last]))
         if step == 2:
-            strings, _, m = b.strings(known, self.length)
-            return strings, m > 1
+            return b.sent(known, self.length)
         again = self.replies(replies[1])
         sure = known[again[b.told(known, self.length, len(again))]]
         covered = b.spread(sure, 0, self.length)
@@ -298,8 +316,7 @@ class Method:
         open_rank[sent] = self.replies(replies[2])
         zone = np.flatnonzero(b.spread(tied[open_rank[tied_rank]], period - 1, 1) & full)
         if step == 4:
-            strings, _, m = b.strings(zone, self.length)
-            return strings, m > 1
+            return b.sent(zone, self.length)
         again = self.replies(replies[3])
         found = zone[again[b.told(zone, self.length, len(again))]]
         covered |= b.spread(found, 0, self.length)

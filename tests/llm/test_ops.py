@@ -708,9 +708,10 @@ def test_strings_of_one_key_are_told_apart_by_their_digests(monkeypatch):
     block = suffix.Block(b"abcabdabc", np.array([9]))
     monkeypatch.setattr(suffix.Block, "keys", lambda self, at, length: np.zeros(len(at), dtype=np.uint64))
     at = np.array([0, 3, 6])
-    rows, inverse, n = block.strings(at, 3)
-    assert len(rows) == 2 and sorted(n.tolist()) == [1, 2] and inverse[0] == inverse[2] != inverse[1]
-    assert (block.told(at, 3, 2) == inverse).all()
+    rows, twice = block.sent(at, 3)
+    told = block.told(at, 3, 2)
+    assert len(rows) == 2 and told[0] == told[2] != told[1]
+    assert twice[told[0]] and not twice[told[1]]
 
 
 def test_likeness_decides_exactly(spark):
