@@ -207,14 +207,17 @@ def op9_simhash_components(spark, sf_dir: str) -> DataFrame:
 
 # Similarity of word shingles, exact. Every pair of sets with a Jaccard similarity of at least t shares an element among the first
 # n - ceil(t * n) + 1 of either, in any one order of all elements (prefix filter): whatever was added, cut or moved and however many
-# rows there are. Rows meet on these elements only, elements common in a sample come last, and each candidate is decided on the sets.
+# rows there are. Rows meet on these elements only, common elements come last, and each candidate is decided on the sets.
 
 NEAR = 0.8
-#: Documents whose shingles are counted to put the common ones last, and how many of these are told apart. They change time, not results.
-SAMPLE = 20_000
-COMMON = 100_000
-#: Times that rows which are still apart are compared with a neighbour in a mixed order before all are. They change time, not results.
-TURNS = 2
+#: The share of all hashes that is counted to put common shingles last, in how many documents a shingle is common, and how many of these are
+#: told apart at most, the rest standing among the rare ones. They change time, not results.
+COUNTED = 0.35
+FEW = 3
+COMMON = 2_000_000
+STOP = np.uint64(int(COUNTED * (1 << 64)))
+#: Neighbours in a mixed order that rows which are still apart are compared with before all are. They change time, not results.
+MIXED = 6
 #: Pairs sent at once.
 HELD = 65_536
 #: Texts and pairs of sets that cross to Python at once.
@@ -238,11 +241,13 @@ def shingle_set(text: str | None, shingle: int, seed: int = SEED) -> np.ndarray:
 
 
 def prefix_of(own: np.ndarray, common: np.ndarray, place: np.ndarray, similarity: float) -> np.ndarray:
-    """The elements of a set that a similar set cannot all miss; ``common`` (sorted) come last, by ``place``."""
+    """The elements of a set that a similar set cannot all miss: first those counted as rare, then ``common`` ones (sorted) by ``place``,
+    then those that are not counted."""
     late = np.zeros(len(own), dtype=np.int64)
     if len(common):
         at = np.minimum(np.searchsorted(common, own), len(common) - 1)
         late = np.where(common[at] == own, place[at], 0)
+    late[np.searchsorted(own, STOP) :] = np.iinfo(np.int64).max
     keep = len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1
     return own[np.lexsort((own, late))[:keep]]
 
@@ -252,58 +257,49 @@ def needed(n, m, similarity: float):
     return np.ceil(similarity / (1 + similarity) * (n + m) - 1e-9)
 
 
-def shared_keys(n, m, similarity: float):
-    """Prefix elements that two just similar sets of ``n`` and ``m`` have in common at least.
+def cross_pairs(node: np.ndarray, comp: np.ndarray, n: np.ndarray, pos: np.ndarray, prev: np.ndarray, first: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of a key's rows from different components that can still be similar, at most about ``HELD`` at once.
 
-    A common element that is not in both prefixes lies behind the prefix that ends first, so behind one of them.
-    """
-    behind = lambda k: np.ceil(similarity * k - 1e-9) - 1
-    return needed(n, m, similarity) - np.maximum(behind(n), behind(m))
-
-
-def cross_pairs(node: np.ndarray, comp: np.ndarray, n: np.ndarray, pos: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """All pairs of a key's rows from different components that can still be similar, at most about ``HELD`` at once, and how many
-    keys such a pair shares at least.
-
-    ``pos`` is the key's place in a row's set: what stands before it and what follows in both bounds the overlap, so a similar pair
-    is given by every key that it shares.
+    ``pos`` is the key's place in a row's set: where it is the first that both have, what follows it bounds the overlap. ``prev`` is the
+    key before it (none where ``first``): rows that agree on that have met there, so a pair is given once for each run of shared keys.
     """
     _, inverse, counts = np.unique(comp, return_inverse=True, return_counts=True)
     rank = np.argsort(np.argsort(counts, kind="stable"), kind="stable")[inverse]
     order = np.argsort(rank, kind="stable")
-    node, n, pos, left, rank = node[order], n[order], pos[order], (n - pos)[order], rank[order]
+    node, n, left, prev, first, rank = node[order], n[order], (n - pos)[order], prev[order], first[order], rank[order]
     stop = np.searchsorted(rank, rank, side="right")
-    a, b, least, size = [], [], [], 0
+    a, b, size = [], [], 0
     for i in range(int(np.searchsorted(rank, rank[-1]))):
         j = stop[i]
-        near = np.flatnonzero(np.minimum(left[i], left[j:]) + np.minimum(pos[i], pos[j:]) >= needed(n[i], n[j:], similarity)) + j
+        new = (prev[j:] != prev[i]) | first[j:] | first[i]
+        near = np.flatnonzero(new & (np.minimum(left[i], left[j:]) >= needed(n[i], n[j:], similarity))) + j
         if len(near):
             a.append(np.full(len(near), node[i]))
             b.append(node[near])
-            least.append(shared_keys(n[i], n[near], similarity))
             size += len(near)
             if size >= HELD:
-                yield np.concatenate(a), np.concatenate(b), np.concatenate(least)
-                a, b, least, size = [], [], [], 0
+                yield np.concatenate(a), np.concatenate(b)
+                a, b, size = [], [], 0
     if size:
-        yield np.concatenate(a), np.concatenate(b), np.concatenate(least)
+        yield np.concatenate(a), np.concatenate(b)
 
 
 def _common_shingles(rows: DataFrame, total: int, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several documents of a sample have, sorted, and their places from the rarest on."""
-    share = max(1, total // SAMPLE)
+    """Shingles that more than ``FEW`` documents have, sorted, and their places from the rarest on.
 
+    Of all documents, the shingles with the lowest hashes are counted: where nothing is common, prefixes lie there. The most common are
+    told apart, twice as many as there are documents but no more than ``COMMON``.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            for lo in range(0, rb.num_rows, 512):
-                sets = [shingle_set(t.as_py(), shingle).view(np.int64) for t in rb.column(0).slice(lo, 512)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets))], names=["h"])
+            sets = [shingle_set(t.as_py(), shingle) for t in rb.column(0)]
+            h, n = np.unique(np.concatenate([s[: np.searchsorted(s, STOP)] for s in sets]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
         tidy()
 
-    some = rows.where(F.pmod(F.xxhash64(F.lit("near"), "id"), F.lit(share)) == 0).select("text")
-    counts = some.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 3")
-    got = counts.orderBy(F.desc("n"), "h").limit(COMMON).collect()
-    h = np.array([r["h"] for r in got], dtype=np.int64).view(np.uint64)
+    counts = rows.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > FEW)
+    got = counts.orderBy(F.desc("n"), "h").limit(min(COMMON, max(100_000, 2 * total))).toArrow()
+    h = got.column("h").to_numpy().view(np.uint64)
     place = np.arange(len(h), 0, -1, dtype=np.int64)
     order = np.argsort(h)
     return h[order], place[order]
@@ -313,10 +309,9 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``id, component_id`` of documents whose sets of word shingles are ``similarity`` alike (Jaccard) or more, and chains of such.
 
     Exact: no pair at ``similarity`` is left out and none below it is linked. Equal sets collapse first. Then rows of a key are compared
-    with the neighbour in size that they meet most, and ``TURNS`` times in a mixed order, which joins most large groups at a few
-    comparisons a row; then all rows of a key that are still apart are compared with each other. Only pairs of numbers are made for
-    that, one for each key that a pair shares; pairs that share too few to be similar go, and the sets of the others are made from
-    their texts to decide them. Rows that share an id, of any type with an order, are one document; rows without one are left out; null
+    with the neighbour in size that they meet most, with the row of their keys that meets most others, and with ``MIXED`` in a mixed
+    order, which joins most large groups at a few comparisons a row; then all rows of a key that are still apart are compared with each other. Only pairs of numbers are made for
+    that, one for each run of keys that a pair shares, and the sets of candidates are made from their texts to decide them. Rows that share an id, of any type with an order, are one document; rows without one are left out; null
     text is empty; an empty table gives no rows. The result is stored; what led to it is
     deleted.
     """
@@ -415,14 +410,15 @@ def _similar(docs: DataFrame, id_col: str, text_col: str, shingle: int, similari
         x, y = sets.select(F.col("node").alias("a"), F.col("own").alias("x")), sets.select(F.col("node").alias("b"), F.col("own").alias("y"))
         return stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(decide, NEAR_PAIRS), f"{name}-links")
 
-    def neighbours(rows: DataFrame) -> DataFrame:
-        """For each node the one that stands before it in most keys, where the two share at least half the keys that similar ones do."""
+    def neighbours(rows: DataFrame, every: bool = False) -> DataFrame:
+        """For each node the one (or ``every`` one) that stands before it in most keys, where they share at least half the keys that similar
+        ones do."""
         overlap = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("n_before")) - 1e-9)
         behind = F.ceil(F.lit(similarity) * F.greatest("n", "n_before") - 1e-9) - 1
         close = rows.where(F.least(F.col("n") - F.col("pos"), F.col("n_before") - F.col("pos_before")) + F.least("pos", "pos_before") >= overlap)
         keys = close.withColumn("least", overlap - behind).groupBy("node", "node_before", "least").agg(F.count("*").alias("keys")).where(2 * F.col("keys") >= F.col("least"))
-        often = keys.groupBy("node").agg(F.max_by("node_before", F.struct("keys", "node_before")).alias("a"))
-        return often.select("a", F.col("node").alias("b"))
+        best = keys.groupBy("node").agg(F.max_by("node_before", F.struct("keys", "node_before")).alias("a"))
+        return (keys.withColumnRenamed("node_before", "a") if every else best).select("a", F.col("node").alias("b"))
 
     def still_apart(joined: DataFrame) -> DataFrame:
         """Rows of the keys whose rows are not all joined yet."""
@@ -432,28 +428,34 @@ def _similar(docs: DataFrame, id_col: str, text_col: str, shingle: int, similari
 
     links = linked(neighbours(met), "near-first")
     joined = stored(connected_components(links), "near-joined")
-    for turn in range(TURNS):
-        mixed = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(turn), "node"), "node")
-        rows_apart = still_apart(joined).select("*", *[F.lag(c).over(mixed).alias(f"{c}_before") for c in ("node", "comp", "n", "pos")])
-        links = links.unionByName(linked(neighbours(rows_apart.where("comp <> comp_before")), "near-turn"))
-        joined = stored(connected_components(links), "near-joined")
+    both = F.struct("node", "comp", "n", "pos")
+    named = lambda rows: rows.where("comp <> one.comp").select("key", "node", "n", "pos", *[F.col(f"one.{c}").alias(f"{c}_before") for c in ("node", "n", "pos")])
+
+    weighed = still_apart(joined).withColumn("many", F.count("*").over(Window.partitionBy("key"))).withColumn("weight", F.sum("many").over(Window.partitionBy("node")))
+    heavy = weighed.withColumn("one", F.max_by(both, F.struct("weight", "node")).over(Window.partitionBy("key")))
+    links = links.unionByName(linked(neighbours(named(heavy)), "near-turn"))
+    joined = stored(connected_components(links), "near-joined")
+
+    mixed = Window.partitionBy("key").orderBy(F.xxhash64("node"), "node")
+    some = still_apart(joined).select("*", F.array(*[F.lag(both, k).over(mixed) for k in range(1, MIXED + 1)]).alias("some"))
+    some = some.select("key", "node", "comp", "n", "pos", F.explode("some").alias("one")).where(F.col("one").isNotNull())
+    links = links.unionByName(linked(neighbours(named(some), True), "near-turn"))
+    joined = stored(connected_components(links), "near-joined")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held = None, []
 
         def emit():
             if sum(len(h[0]) for h in held) > 1:
-                cols = [np.concatenate([h[i] for h in held]) for i in range(4)]
+                cols = [np.concatenate([h[i] for h in held]) for i in range(6)]
                 if (cols[1] != cols[1][0]).any():
-                    for a, b, least in cross_pairs(*cols, similarity):
-                        swap = a > b
-                        a, b = np.where(swap, b, a), np.where(swap, a, b)
-                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(least.astype(np.int32))], names=["a", "b", "least"])
+                    for a, b in cross_pairs(*cols, similarity):
+                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for rb in batches:
             if not rb.num_rows:
                 continue
-            key, *cols = (rb.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            key, *cols = (rb.column(i).to_numpy(zero_copy_only=False) for i in range(7))
             cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
             for lo, hi in itertools.pairwise(cuts):
                 if held_key != key[lo]:
@@ -462,8 +464,9 @@ def _similar(docs: DataFrame, id_col: str, text_col: str, shingle: int, similari
                 held.append([c[lo:hi] for c in cols])
         yield from emit()
 
-    met_by = still_apart(joined).repartition("key").sortWithinPartitions("key").mapInArrow(compare, f"{NEAR_PAIRS}, least int")
-    more = linked(met_by.groupBy("a", "b", "least").agg(F.count("*").alias("keys")).where("keys >= least"), "near-rest")
+    before = F.lag("key").over(Window.partitionBy("node").orderBy("pos"))
+    left = still_apart(joined).withColumn("prev", before).select("key", "node", "comp", "n", "pos", F.coalesce("prev", F.lit(0).cast("long")).alias("prev"), F.col("prev").isNull().alias("first"))
+    more = linked(left.repartition("key").sortWithinPartitions("key").mapInArrow(compare, NEAR_PAIRS), "near-rest")
     same = prints.groupBy("id").agg(F.array_sort(F.collect_set("node")).alias("all")).where("size(all) > 1").select(F.col("all")[0].alias("a"), F.explode("all").alias("b"))
     roots = connected_components(links.unionByName(more).unionByName(same))
     classes = stored(nodes.join(roots, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component")), "near-classes")
