@@ -46,12 +46,14 @@ def clean_import_caption(text: Column) -> Column:
 
 
 def strip_markup(text: Column) -> Column:
-    """Line breaks to spaces, tags out, the common entities decoded, URLs out, spaces squeezed."""
-    t = F.regexp_replace(text, r"(?i)<br[^>]*>", " ")
-    t = F.regexp_replace(t, r"<[^>]*>", "")
+    """Tags and line breaks to spaces, the common entities decoded, URLs and rules of repeated punctuation out, spaces squeezed, spaces,
+    commas and semicolons off both ends."""
+    t = F.regexp_replace(text, r"<[^>]+>", " ")
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
         t = F.replace(t, F.lit(entity), F.lit(char))
-    return squeeze(F.regexp_replace(t, r"https?://[^ \t\n\r\f]+", ""))
+    t = F.regexp_replace(t, r"https?://[^ \t\n\r\f]+|www\.[^ \t\n\r\f]+", "")
+    t = F.regexp_replace(t, r"-{4,}|_{4,}|={4,}|\*{4,}|~{4,}|\.{4,}|—{4,}|–{4,}", " ")
+    return F.btrim(F.regexp_replace(t, SPACES, " "), F.lit(" ,;"))
 
 
 @F.pandas_udf(T.StringType())
@@ -65,9 +67,25 @@ def drop_segments(text: Column, separator: str, drop: str) -> Column:
     return F.array_join(F.filter(F.transform(F.split(text, separator), lambda s: F.trim(s)), lambda s: (s != "") & ~F.rlike(s, F.lit(drop))), ". ")
 
 
+#: What marks a segment of a description as a link, and as one that is not about the picture.
+SEGMENT_LINK = r"(?i)<a\b|https?://|www\.|#\d{4,}"
+SEGMENT_DROP = (
+    r"(?iu)разрешен|с согласия|©|copyright|все права|точка (стоит |поставлена )?(условн|примерн|приблизит)|ракурс условн"
+    r"|^\s*вариант(?!\p{L})|более (ч[её]ткий|крупный|качественный) вариант|^\s*(см\.|смотри)\s"
+)
+
+
+def description(text: Column) -> Column:
+    """A description without the segments (sentences, or lines cut by a tag) that hold a link or are not about the picture; empty for null."""
+    parts = F.split(text, r"(?i)<br\s*/?>|(?<=[.!?])\s+(?=[A-ZА-ЯЁ0-9«\"(])")
+    kept = F.transform(F.filter(parts, lambda s: ~F.rlike(s, F.lit(SEGMENT_LINK))), strip_markup)
+    return F.coalesce(F.array_join(F.filter(kept, lambda s: (s != "") & ~F.rlike(s, F.lit(SEGMENT_DROP))), " "), F.lit(""))
+
+
 def cap_text(text: Column, most: int) -> Column:
-    """At most ``most`` characters, cut at the last space, with an ellipsis if cut."""
-    return F.when(F.char_length(text) > most, F.concat(F.regexp_replace(F.left(text, F.lit(most)), " [^ ]*$", ""), F.lit("..."))).otherwise(text)
+    """At most ``most`` characters, cut at the last space and before punctuation there, with an ellipsis if cut."""
+    head = F.rtrim(F.regexp_replace(F.left(text, F.lit(most)), " [^ ]*$", ""), F.lit(" ,;:"))
+    return F.when(F.char_length(text) > most, F.concat(head, F.lit("..."))).otherwise(text)
 
 
 def compose_caption(parts: list[Column]) -> Column:
@@ -82,45 +100,90 @@ def compose_caption(parts: list[Column]) -> Column:
     return F.aggregate(filled, F.lit(""), add)
 
 
-#: Latin letters and the Cyrillic letters that look like them.
-LATIN_LOOKALIKES, CYRILLIC_LOOKALIKES = "aceopxyABCEHKMOPTX", "асеорхуАВСЕНКМОРТХ"
+#: Latin, Greek and small-capital letters and the Cyrillic letters that they look like, one below the other.
+LOOKALIKES = (
+    "aceopxyACEHKMOPTXBĸᴏοᴍëΓᴙᴦʜΒΜκΚɜΗΠ",
+    "асеорхуАСЕНКМОРТХВкоомёГягнВМкКзНП",
+)
 
 
 def repair_homoglyphs(text: Column) -> Column:
-    """Latin look-alikes become Cyrillic in words that hold Cyrillic letters."""
-    fixed = F.transform(F.split(text, " "), lambda w: F.when(F.rlike(w, F.lit(r"[Ѐ-ӿ]")), F.translate(w, LATIN_LOOKALIKES, CYRILLIC_LOOKALIKES)).otherwise(w))
-    return F.array_join(fixed, " ")
+    """Look-alikes become Cyrillic in words (runs of letters, digits and underscores) that hold Russian letters."""
+    runs = F.split(text, r"(?U)(?<=\w)(?=\W)|(?<=\W)(?=\w)")
+    fixed = F.transform(runs, lambda w: F.when(F.rlike(w, F.lit("[а-яёА-ЯЁ]")), F.translate(w, *LOOKALIKES)).otherwise(w))
+    return F.array_join(fixed, "")
 
 
 def drop_emoji(text: Column) -> Column:
     return squeeze(F.replace(F.regexp_replace(text, r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{FE0F}]", ""), F.lit(" "), F.lit(" ")))
 
 
-def strip_footer(lines: Column, is_footer: str) -> Column:
-    """An array of lines without the run of footer or blank lines at its end."""
+#: Calls to subscribe.
+FOOTER_CALL = r"(?iu)подписывайтесь|подписывайся|подпишитесь|переходите|присоединяйтесь|(?<!\p{L})в\s+(МАХ|MAX)(?!\p{L})"
+
+
+def footer_line(line: Column, channel: str = "", link_texts: Column | None = None, call: str = FOOTER_CALL) -> Column:
+    """Whether a line is a channel's footer: its name, alone or before a bar, a bare URL, the text of a link to the channel, or a call to
+    subscribe of at most twelve words."""
+    core = F.btrim(F.rtrim(F.btrim(line), F.lit(":!.")))
+    out = F.rlike(core, F.lit(r"^https?://\S+$")) | ((word_count(core) <= 12) & F.rlike(core, F.lit(call)))
+    if channel:
+        out = out | (F.lower(core) == channel.lower()) | F.startswith(F.lower(core), F.lit(channel.lower() + " |"))
+    return out if link_texts is None else out | F.coalesce(F.array_contains(link_texts, core), F.lit(False))
+
+
+def strip_footer(lines: Column, is_footer) -> Column:
+    """An array of lines without the run of footer or blank lines at its end; ``is_footer`` takes a line."""
 
     def step(acc, line):
-        foot = F.rlike(line, F.lit(is_footer)) | (F.trim(line) == "")
+        foot = is_footer(line) | (F.trim(line) == "")
         return F.struct((acc["open"] & foot).alias("open"), F.when(acc["open"] & foot, acc["kept"]).otherwise(F.concat(F.array(line), acc["kept"])).alias("kept"))
 
     none = F.array().cast("array<string>")
     return F.aggregate(F.reverse(lines), F.struct(F.lit(True).alias("open"), none.alias("kept")), step, lambda acc: acc["kept"])
 
 
-#: Abbreviations that end no sentence.
-ABBREVIATIONS = ("mr", "mrs", "dr", "st", "etc", "vs", "fig", "no")
+#: Words before a full stop that ends no sentence.
+ABBREVIATIONS = (
+    "г гг ул пл им др см км св ст руб коп тыс млн млрд худ обл пр просп пер наб ок вв стр рис фот акад проф ген "
+    "тов т е д н э р с ж ср см мм кв ред изд арх"
+).split()
+ENGLISH_ABBREVIATIONS = ("mr", "mrs", "dr", "st", "etc", "vs", "fig", "no")
 
 
-def sentences(text: Column) -> Column:
-    """Sentences: a stop ends one before white space and a capital letter, digit or quote, unless it follows an abbreviation."""
-    guard = "".join(rf"(?<!\b(?i:{a})\.)" for a in ABBREVIATIONS)
-    return F.filter(F.split(text, rf"(?<=[.!?]){guard}[ \t\n\r\f]+(?=[\p{{Lu}}0-9\"'(])"), lambda s: F.trim(s) != "")
+def sentences(text: Column, also: tuple[str, ...] = ()) -> Column:
+    """Sentences. Stops, with closing quotes and brackets, end one before white space and a capital letter, digit, opening quote, bracket or
+    dash; a full stop does not after an initial or an abbreviation (``also`` adds some)."""
+    words = "|".join([*dict.fromkeys(ABBREVIATIONS), *also])
+    guard = rf'(?<!(?<!\w)(?:(?iu:{words})|\w)\.[.!?…]{{0,4}}[»"”)]{{0,3}})'
+    parts = F.split(text, rf'(?U)(?<=[.!?…][»"”)]{{0,3}}){guard}\s+(?=[\p{{Lu}}\d«"“„(—–-])')
+    return F.filter(F.transform(parts, lambda s: F.btrim(s, F.lit(" \t\r\n\f"))), lambda s: s != "")
 
 
-def trim_questions(text: Column) -> Column:
-    """Sentences without questions, or the text itself if nothing else is left."""
-    kept = F.filter(sentences(text), lambda s: ~F.rlike(s, F.lit(r"\?\s*$")))
-    return F.when(F.size(kept) > 0, F.array_join(kept, " ")).otherwise(text)
+#: A question at the end of a sentence, and a tag that makes a statement one.
+QUESTION = r"\?[?!»\"”)\s.]*$"
+QUESTION_TAG = (
+    r"(?iu),\s*(а\s+)?(вы\s+)?((помните|узнали|узна[её]те)(\s+[\p{L}\p{N}_-]+){0,2}|правда|не так ли|согласны|верно|да)\s*\?[?!.]*$"
+)
+
+
+def end_with_stop(s: Column) -> Column:
+    bare = F.rtrim(s, F.lit(" ,;:—–-!…"))
+    return F.when(F.endswith(bare, F.lit(".")), bare).otherwise(F.concat(bare, F.lit(".")))
+
+
+def trim_questions(text: Column, also: tuple[str, ...] = ()) -> Column:
+    """Sentences without questions; one that is a question by its tag alone stays as a statement. What is left ends with a full stop. The
+    text itself if no question was there or fewer than three words are left."""
+
+    def keep(s):
+        stated = F.btrim(F.regexp_replace(s, QUESTION_TAG, ""))
+        return F.when(~F.rlike(s, F.lit(QUESTION)), s).when((stated != s) & (stated != ""), end_with_stop(stated))
+
+    every = sentences(text, also)
+    asked = F.exists(every, lambda s: F.rlike(s, F.lit(QUESTION)))
+    left = F.array_join(F.array_compact(F.transform(every, keep)), " ")
+    return F.when(asked & (word_count(left) >= 3), end_with_stop(left)).otherwise(text)
 
 
 def truncate_words(text: Column, budget: int) -> Column:
@@ -252,25 +315,32 @@ def budgeted_prefix(budget: int, least: int = 8, separator: str = "__"):
     return prefix
 
 
-#: A transliteration of the Russian alphabet, letter by letter.
-CYRILLIC = dict(zip("абвгдежзийклмнопрстуфхцчшщъыьэюя", "a b v g d e zh z i y k l m n o p r s t u f kh ts ch sh shch _ y _ e yu ya".replace("_", "").split(" "), strict=True)) | {"ё": "e"}
+#: Latin letters for Cyrillic ones: Russian, then Ukrainian and Belarusian.
+CYRILLIC = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ё": "yo", "ж": "zh", "з": "z", "и": "i", "й": "y", "к": "k", "л": "l", "м": "m", "н": "n",
+    "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "", "ы": "y", "ь": "",
+    "э": "e", "ю": "yu", "я": "ya",
+    "є": "ye", "і": "i", "ї": "yi", "ґ": "g", "ў": "u",
+}
 
 
 @F.pandas_udf(T.StringType())
 def transliterate(text: pd.Series) -> pd.Series:
-    """Latin letters for Cyrillic ones with their case, accents off, anything else outside ASCII an underscore."""
+    """Latin letters for Cyrillic ones, in capitals where a neighbour is one too; accents off; any other letter outside ASCII an underscore."""
+
+    def letter(before, c, after):
+        latin = CYRILLIC.get(c.lower(), c)
+        if latin is c or not c.isupper():
+            return latin
+        return latin.upper() if before.isupper() or after.isupper() else latin.capitalize()
 
     def one(s):
         if not isinstance(s, str):
             return None
-        out = []
-        for i, c in enumerate(s):
-            if (t := CYRILLIC.get(c.lower())) is not None:
-                upper_next = i + 1 < len(s) and s[i + 1].isupper()
-                out.append((t.upper() if upper_next else t.capitalize()) if c.isupper() else t)
-            else:
-                out.append("".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)))
-        return re.sub(r"[^\x00-\x7f]", "_", "".join(out))
+        s = unicodedata.normalize("NFC", s)
+        latin = "".join(map(letter, [" ", *s[:-1]], s, [*s[1:], " "])) if s else ""
+        bare = "".join(c for c in unicodedata.normalize("NFKD", latin) if not unicodedata.combining(c))
+        return re.sub(r"[^\x00-\x7f]", "_", bare)
 
     return text.map(one)
 

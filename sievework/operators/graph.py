@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; one of our own only where it is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; one of our own only where it is unset and all runs on one machine."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
+    if not path and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     if not path:
         path = "file:/tmp/checkpoints/sievework"
     if sc._jsc.sc().getCheckpointDir().isEmpty():

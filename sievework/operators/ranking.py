@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sievework.operators.tables import numbered
+
 
 def rank_in(df: DataFrame, groups: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*groups).orderBy(*order)).cast("long"))
@@ -84,9 +86,10 @@ def gap_tiers(df: DataFrame, score: str, ident: str, tiers: int, window: float =
     Borders depend on those before them, so they are found one by one, ``tiers - 1`` small queries over the ranked gaps. A border stays
     within ``window`` of a tier's size from the ideal place and after the border before it; of equal gaps the one nearest to the ideal.
     """
-    everyone = Window.orderBy(F.col(score).desc(), F.col(ident))
-    ranked = df.withColumn("_pos", F.row_number().over(everyone)).withColumn("_gap", F.col(score) - F.lead(score).over(everyone))
-    n = df.count()
+    ranked = numbered(df, [F.col(score).desc(), F.col(ident)], "_pos")
+    after = ranked.select((F.col("_pos") - 1).alias("_pos"), F.col(score).alias("_after"))
+    ranked = ranked.join(after, "_pos", "left").withColumn("_gap", F.col(score) - F.col("_after")).drop("_after").checkpoint()
+    n = ranked.count()
     borders, before = [], 0
     for i in range(1, tiers):
         ideal, reach = n * i / tiers, max(1, int(n / tiers * window))

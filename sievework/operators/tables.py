@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievework.operators.graph import ensure_checkpoint_dir
+
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], update: Sequence[str], once: Sequence[str] = ()) -> DataFrame:
     """Full outer merge by key: ``update`` columns take the new value where the key is in ``new``; others, and ``once`` columns such as a
@@ -63,13 +65,28 @@ def add_counters(counters: DataFrame, deltas: DataFrame, keys: Sequence[str], va
     return counters.select(*keys, value).unionByName(deltas.select(*keys, value)).groupBy(*keys).agg(F.sum(value).alias(value))
 
 
+def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Rows with their number in an order over the whole table, from 1, without a task that holds them all.
+
+    Rows are sorted in ranges and kept by a reliable checkpoint, so that their places stay; one count a range reaches the driver.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()).checkpoint()
+    part = F.shiftright("_mid", 33)
+    before, total = [], 0
+    for p, n in sorted(tuple(r) for r in rows.groupBy(part.alias("p")).count().collect()):
+        before.append((p, total))
+        total += n
+    offsets = df.sparkSession.createDataFrame(before, "_part long, _before long")
+    placed = rows.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return placed.withColumn(name, F.col("_before") + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_part", "_before", "_mid")
+
+
 def assign_ids(existing: DataFrame, names: DataFrame, id_col: str, name_col: str) -> DataFrame:
     """Names not yet there with dense new ids after the largest one, in the order of the names. One small job finds the largest id."""
-    from pyspark.sql.window import Window
-
     top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("m")).first()["m"]
     fresh = names.select(name_col).distinct().join(existing.select(name_col), name_col, "left_anti")
-    return fresh.select((F.row_number().over(Window.orderBy(name_col)) + top).cast("long").alias(id_col), name_col)
+    return numbered(fresh, [F.col(name_col)], "_n").select((F.col("_n") + top).cast("long").alias(id_col), name_col)
 
 
 def compare_sets(left: DataFrame, right: DataFrame, keys: Sequence[str], rules: Sequence[tuple[str, Column]], default: str = "kept") -> DataFrame:

@@ -18,13 +18,13 @@ def docs(spark, sf):
 
 @query(
     "x05_social_caption",
-    r"""with a as (select doc_id, regexp_replace('[club7|Some Group] ' || left(text, 300) || ' #tag @user https://a.b/c .', '\[[^\]|]*\|([^\]]*)\]', '\1', 'g') as t from documents),
+    r"""with a as (select doc_id, regexp_replace('[club7|Some Group] ' || text || ' #tag @user https://a.b/c .', '\[[^\]|]*\|([^\]]*)\]', '\1', 'g') as t from documents),
     b as (select doc_id, regexp_replace(regexp_replace(t, 'https?://[^ \t\n\r\f]+', '', 'g'), '[#@][0-9A-Za-z_]+', '', 'g') as t from a),
     c as (select doc_id, regexp_replace(trim(regexp_replace(t, '[ \t\n\r\f]+', ' ', 'g')), ' +([,.;:!?])', '\1', 'g') as t from b)
     select doc_id, case when regexp_matches(t, '[0-9A-Za-z_\pL]') then t else '' end as caption from c""",
 )
 def x05(spark, sf):
-    t = F.concat(F.lit("[club7|Some Group] "), F.left("text", F.lit(300)), F.lit(" #tag @user https://a.b/c ."))
+    t = F.concat(F.lit("[club7|Some Group] "), "text", F.lit(" #tag @user https://a.b/c ."))
     return docs(spark, sf).select("doc_id", X.clean_social_caption(t).alias("caption"))
 
 
@@ -36,23 +36,29 @@ def x06(spark, sf):
 
 @query(
     "x07_markup_cleaning",
-    r"""with a as (select page_id, regexp_replace(regexp_replace(html, '(?i)<br[^>]*>', ' ', 'g'), '<[^>]*>', '', 'g') as t from pages),
+    r"""with a as (select page_id, regexp_replace(html, '<[^>]+>', ' ', 'g') as t from pages),
     b as (select page_id, replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&') as t from a)
-    select page_id, regexp_replace(regexp_replace(regexp_replace(t, 'https?://[^ \t\n\r\f]+', '', 'g'), '[ \t\n\r\f]+', ' ', 'g'), '^ | $', '', 'g') as body from b""",
+    select page_id, trim(regexp_replace(regexp_replace(regexp_replace(t, 'https?://[^ \t\n\r\f]+|www\.[^ \t\n\r\f]+', '', 'g'), '-{4,}|_{4,}|={4,}|\*{4,}|~{4,}|\.{4,}|—{4,}|–{4,}', ' ', 'g'), '[ \t\n\r\f]+', ' ', 'g'), ' ,;') as body from b""",
 )
 def x07(spark, sf):
-    return load(spark, sf, "pages").select("page_id", F.regexp_replace(X.strip_markup(F.col("html")), "^ | $", "").alias("body"))
+    return load(spark, sf, "pages").select("page_id", X.strip_markup(F.col("html")).alias("body"))
 
 
 @query(
     "x08_drop_segments",
-    r"""select doc_id, array_to_string(list_filter(list_transform(string_split(left(text, 500), '. '), lambda s: trim(s)), lambda s: s <> '' and not regexp_matches(s, 'the|http')), '. ') as kept from documents""",
+    r"""select doc_id, array_to_string(list_filter(list_transform(string_split(text, '. '), lambda s: trim(s)), lambda s: s <> '' and not regexp_matches(s, 'the|http')), '. ') as kept from documents""",
 )
 def x08(spark, sf):
-    return docs(spark, sf).select("doc_id", X.drop_segments(F.left("text", F.lit(500)), r"\. ", "the|http").alias("kept"))
+    return docs(spark, sf).select("doc_id", X.drop_segments(F.col("text"), r"\. ", "the|http").alias("kept"))
 
 
-@query("x09_cap_text", r"select doc_id, case when length(text) > 120 then regexp_replace(left(text, 120), ' [^ ]*$', '') || '...' else text end as capped from documents")
+@query("x08_description")
+def x08_description(spark, sf):
+    t = F.concat(F.lit("Вид на мост. Публикуется с разрешения автора. "), "text", F.lit("<br>See <a href='x'>here</a>.<br />Точка условна. The end ,;"))
+    return docs(spark, sf).select("doc_id", X.description(t).alias("kept"))
+
+
+@query("x09_cap_text", r"select doc_id, case when length(text) > 120 then rtrim(regexp_replace(left(text, 120), ' [^ ]*$', ''), ' ,;:') || '...' else text end as capped from documents")
 def x09(spark, sf):
     return docs(spark, sf).select("doc_id", X.cap_text(F.col("text"), 120).alias("capped"))
 
@@ -73,15 +79,16 @@ def x11(spark, sf):
     return load(spark, sf, "orders").select("o_orderkey", D.year_span(y, F.when(F.col("o_orderkey") % 3 == 0, y).otherwise(y + 2)).alias("span"))
 
 
-@query("x12_homoglyphs", "select c_custkey, array_to_string(list_transform(string_split('Cтapый ' || c_mktsegment, ' '), lambda w: case when regexp_matches(w, '[Ѐ-ӿ]') then translate(w, 'aceopxyABCEHKMOPTX', 'асеорхуАВСЕНКМОРТХ') else w end), ' ') as t from customer")
+@query("x12_homoglyphs", "select c_custkey, array_to_string(list_transform(string_split('Cтapый ' || c_mktsegment, ' '), lambda w: case when regexp_matches(w, '[Ѐ-ӿ]') then translate(w, 'aceopxyACEHKMOPTXBĸᴏοᴍëΓᴙᴦʜΒΜκΚɜΗΠ', 'асеорхуАСЕНКМОРТХВкоомёГягнВМкКзНП') else w end), ' ') as t from customer")
 def x12(spark, sf):
     return load(spark, sf, "customer").select("c_custkey", X.repair_homoglyphs(F.concat(F.lit("Cтapый "), "c_mktsegment")).alias("t"))
 
 
 @query("x13_footer")
 def x13(spark, sf):
-    lines = F.split(F.concat_ws("\n", "text", F.lit("subscribe now"), F.lit(""), F.lit("join us")), "\n")
-    return docs(spark, sf).select("doc_id", F.array_join(X.strip_footer(lines, "(?i)^(subscribe|join)"), "\n").alias("body"))
+    lines = F.split(F.concat_ws("\n", "text", F.lit("Подписывайтесь на наш канал!"), F.lit(""), F.lit("Old Town | photos"), F.lit("https://a.b/c"), F.lit("more here:")), "\n")
+    rule = lambda line: X.footer_line(line, "Old Town", F.array(F.lit("more here")))
+    return docs(spark, sf).select("doc_id", F.array_join(X.strip_footer(lines, rule), "\n").alias("body"))
 
 
 @query("x14_sentences")
@@ -92,7 +99,7 @@ def x14(spark, sf):
 
 @query("x15_question_trimming")
 def x15(spark, sf):
-    return docs(spark, sf).select("doc_id", X.trim_questions(F.concat(F.lit("Really? "), "text")).alias("t"))
+    return docs(spark, sf).select("doc_id", X.trim_questions(F.concat(F.lit("Really? Красиво, правда? "), "text")).alias("t"))
 
 
 @query("x16_word_budget")
@@ -207,9 +214,9 @@ def x31(spark, sf):
     return load(spark, sf, "pages").select("page_id", X.ascii_url(F.concat("url", F.lit("&q=é ü"))).alias("url"))
 
 
-@query("x32_model_reply", r"select conv_id, turn, trim(regexp_replace(regexp_replace('<think>a' || chr(10) || 'b</think> ' || left(text, 50) || ' <|end|>', '(?s)<think>.*?</think>', '', 'g'), '<\|[^|>]*\|>', '', 'g')) as reply, 'Role: ' || role || ' #' || turn as prompt from conversations")
+@query("x32_model_reply", r"select conv_id, turn, trim(regexp_replace(regexp_replace('<think>a' || chr(10) || 'b</think> ' || text || ' <|end|>', '(?s)<think>.*?</think>', '', 'g'), '<\|[^|>]*\|>', '', 'g')) as reply, 'Role: ' || role || ' #' || turn as prompt from conversations")
 def x32(spark, sf):
-    t = F.concat(F.lit("<think>a\nb</think> "), F.left("text", F.lit(50)), F.lit(" <|end|>"))
+    t = F.concat(F.lit("<think>a\nb</think> "), "text", F.lit(" <|end|>"))
     return load(spark, sf, "conversations").select("conv_id", "turn", X.strip_thinking(t).alias("reply"), X.fill_template("Role: {role} #{turn}", {"role": F.col("role"), "turn": F.col("turn")}).alias("prompt"))
 
 

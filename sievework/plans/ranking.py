@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sievework.functions.text import natural_key
 from sievework.operators import ranking as R
+from sievework.operators.tables import numbered
 from sievework.plans.registry import load, query
 
 
@@ -162,5 +162,5 @@ def w17(spark, sf):
 @query("t07_natural_sort", "select p_partkey, row_number() over (order by p_size, p_partkey) as n from part where p_size < 4")
 def t07(spark, sf):
     p = load(spark, sf, "part").where(F.col("p_size") < 4)
-    order = Window.orderBy(natural_key(F.concat(F.lit("Img"), F.col("p_size").cast("string"))), "p_partkey")
-    return p.select("p_partkey", F.row_number().over(order).cast("long").alias("n"))
+    order = [natural_key(F.concat(F.lit("Img"), F.col("p_size").cast("string"))), F.col("p_partkey")]
+    return numbered(p, order, "n").select("p_partkey", "n")

@@ -301,9 +301,9 @@ def x03(spark, sf):
     return load(spark, sf, "documents").select("doc_id", S.drop_prefix(t, ["this image shows", "the image displays", "this is"]).alias("text"))
 
 
-@query("x04_result_slug", r"select doc_id, left(trim(regexp_replace(regexp_replace(lower(left(text, 60)), '[^a-z0-9]+', '-', 'g'), '-+', '-', 'g'), '-'), 40) as slug from documents")
+@query("x04_result_slug", r"select doc_id, left(trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '-+', '-', 'g'), '-'), 40) as slug from documents")
 def x04(spark, sf):
-    s = F.regexp_replace(F.lower(F.substring("text", 1, 60)), "[^a-z0-9]+", "-")
+    s = F.regexp_replace(F.lower("text"), "[^a-z0-9]+", "-")
     return load(spark, sf, "documents").select("doc_id", F.substring(F.btrim(F.regexp_replace(s, "-+", "-"), F.lit("-")), 1, 40).alias("slug"))
 
 
