@@ -31,13 +31,13 @@ from sievework.llm.common import Room, batches_of, stored, table, text_or_empty,
 
 LENGTH = 400
 ORDER = 13
-BLOCK_BYTES = 384 << 10
+BLOCK_BYTES = 1 << 20
 BUCKET_BYTES = 8 << 20
 SHORT_KEY = 40
 #: Steps whose answers decide what is cut: their keys are digests of the strings.
 DECIDING = (2, 4, 5)
 #: Documents, and blocks with their replies, that cross to Python at once.
-DOCS_AT_ONCE, BLOCKS_AT_ONCE = 1000, 8
+DOCS_AT_ONCE, BLOCKS_AT_ONCE = 1000, 2
 
 
 @cache
