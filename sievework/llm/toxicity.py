@@ -340,7 +340,7 @@ def _fit_on(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, per_
             x = [_doc_features([p for _, _, p in model.tag(t)[0]]) for t in rb.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([rb.column("y"), *[pa.array([v[i] for v in x], pa.float64()) for i in (0, 1)]], names=["y", "u", "v"])
 
-    got = rows.mapInArrow(measure, "y int, u double, v double").orderBy("y", "u", "v").collect()
+    got = sorted(rows.mapInArrow(measure, "y int, u double, v double").collect())
     return _calibrated(model, np.array([(r["u"], r["v"]) for r in got]), np.array([r["y"] for r in got], dtype=np.int64), totals)
 
 
