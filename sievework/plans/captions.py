@@ -386,7 +386,7 @@ def x70(spark, sf):
     return e.select("event_id", F.from_json("props", "k int")["k"].alias("k"), F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("type"))).alias("doc"))
 
 
-@query("x71_json_strings")
+@query("x71_json_strings", "select event_id, [event_type, props, event_type] as strings from events")
 def x71(spark, sf):
     doc = F.to_json(F.struct("event_type", F.struct(F.col("props").alias("deep"), F.array("event_type").alias("list")).alias("inner")))
     return load(spark, sf, "events").select("event_id", X.json_strings(doc).alias("strings"))

@@ -257,3 +257,27 @@ def test_whole_texts_are_taken(spark):
     sql = registry.oracle_sql()
     for name in ("x04_result_slug", "x05_social_caption", "x08_drop_segments", "x32_model_reply"):
         assert "left(text" not in sql[name]
+
+
+def brute_tiers(rows, tiers, window=0.25):
+    """Tiers by borders found one by one at the largest gap near each ideal place."""
+    order = sorted(rows, key=lambda r: (-r[1], r[0]))
+    n, borders, before = len(order), [], 0
+    for i in range(1, tiers):
+        ideal, reach = n * i / tiers, max(1, int(n / tiers * window))
+        places = range(max(before + 1, int(ideal) - reach), min(n - 1, int(ideal) + reach) + 1)
+        if places:
+            before = max(places, key=lambda k: (order[k - 1][1] - order[k][1], -abs(k - ideal)))
+            borders.append(before)
+    return {ident: 1 + sum(k > b for b in borders) for k, (ident, _) in enumerate(order, 1)}
+
+
+def test_score_and_sort_equals_brute_force(spark):
+    from sievework.plans import registry
+
+    parts = registry.load(spark, SMALL, "part").collect()
+    want = brute_tiers([(p.p_partkey, p.p_retailprice + p.p_size * 3) for p in parts], 5)
+    placed = {p.p_partkey: p.p_brand for p in parts}
+    got = registry.queries()["c05_score_and_sort"](spark, SMALL).collect()
+    assert {r.id: r.tier for r in got} == want and set(want.values()) == {1, 2, 3, 4, 5}
+    assert all(r.stale == (placed[r.id] != f"Brand#{r.tier}") for r in got)
