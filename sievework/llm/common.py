@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sievework.operators.graph import ensure_checkpoint_dir
 
-__all__ = ["Room", "batches_of", "ensure_checkpoint_dir", "scratch", "stored", "table", "text_or_empty", "tidy"]
+__all__ = ["Room", "batches_of", "ensure_checkpoint_dir", "kept", "scratch", "stored", "table", "text_or_empty", "tidy"]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -39,12 +39,24 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def tidy() -> None:
-    """Gives memory that a task has freed back to the system; Python workers outlive tasks."""
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]):
+    """What a Python worker makes once for its later tasks, until ``tidy`` of a task that has no use for it."""
+    if name not in _KEPT:
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def tidy(keep: str | None = None) -> None:
+    """Lets go what is ``kept`` under other names and gives freed memory back to the system; Python workers outlive tasks."""
     import ctypes
 
     import pyarrow as pa
 
+    for name in [n for n in _KEPT if n != keep]:
+        del _KEPT[name]
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

@@ -13,7 +13,6 @@ import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sievework.llm.common import stored, table, text_or_empty, tidy
+from sievework.llm.common import kept, stored, table, text_or_empty, tidy
 
 LIMIT = 4096
 EOS = 1
@@ -129,12 +128,6 @@ class WordTokenizer:
         return [whole[i] if i in whole else np.frombuffer(s.encode(self.codec), dtype=self.unit).astype("<u4") - np.uint32(self.base) for i, s in enumerate(found)]
 
 
-@cache
-def _tokenizer(path: str) -> WordTokenizer:
-    """One for each Python worker, so that the parts it holds serve the worker's later tasks too."""
-    return WordTokenizer(path)
-
-
 def token_pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, eos: int = EOS, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """``id, piece, start, length, ids_crc32`` (and ``ids``): each document's ids plus ``eos``, cut every ``limit`` tokens.
 
@@ -143,7 +136,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, eos: int =
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _tokenizer(tokenizer)
+        name = f"tokenizer {tokenizer}"
+        tok = kept(name, lambda: WordTokenizer(tokenizer))
         tail = np.array([eos], dtype="<u4")
         for rb in batches:
             for lo in range(0, rb.num_rows, 512):
@@ -166,7 +160,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, eos: int =
                     cols.append(pa.array(ids, pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
-        tidy()
+        tidy(keep=name)
 
     schema = f"id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).mapInArrow(run, schema)

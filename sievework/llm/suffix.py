@@ -399,6 +399,7 @@ def _exchange(blocks: DataFrame, replies: list[DataFrame], method: Method, step:
     count = len(replies)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for rb in batches:
             for i in range(rb.num_rows):
                 b = Block(rb.column("blob")[i].as_py(), rb.column("sizes")[i].as_py())
@@ -462,6 +463,7 @@ def _cut(source: DataFrame, names: list[str], method: Method, whole_chars: bool,
     rest, count = dict(blocks.dtypes)["rest"], len(replies)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for rb in batches:
             for i in range(rb.num_rows):
                 b = Block(rb.column("blob")[i].as_py(), rb.column("sizes")[i].as_py())

@@ -353,6 +353,7 @@ def tag_toxic(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_c
     struct = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("p", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for rb in batches:
             scores, found = [], []
             for t in rb.column(1):
@@ -382,6 +383,7 @@ def drop_toxic(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD,
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for rb in batches:
             keep = [model.score([p for _, _, p in model.tag(t.as_py() or "")[0]]) < threshold for t in rb.column(at)]
             yield rb.filter(pa.array(keep, pa.bool_()))
