@@ -218,6 +218,9 @@ COMMON = 2_000_000
 STOP = np.uint64(int(COUNTED * (1 << 64)))
 #: Neighbours in a mixed order that rows which are still apart are compared with before all are. They change time, not results.
 MIXED = 6
+#: Bits of the parity of a set's hashes, and from how many rows of a key on pairs are looked at by them. They change time, not results.
+PARITY = 1024
+MANY = 32
 #: Pairs sent at once.
 HELD = 65_536
 #: Texts and pairs of sets that cross to Python at once.
@@ -257,22 +260,32 @@ def needed(n, m, similarity: float):
     return np.ceil(similarity / (1 + similarity) * (n + m) - 1e-9)
 
 
-def cross_pairs(node: np.ndarray, comp: np.ndarray, n: np.ndarray, pos: np.ndarray, prev: np.ndarray, first: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def parity_of(own: np.ndarray) -> bytes:
+    """For each of ``PARITY`` bits whether an odd number of a set's elements fall on it; where those of two sets differ, the sets do."""
+    return np.packbits(np.bincount((own & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1).tobytes()
+
+
+def cross_pairs(node: np.ndarray, comp: np.ndarray, n: np.ndarray, pos: np.ndarray, prev: np.ndarray, first: np.ndarray, similarity: float, parity: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of a key's rows from different components that can still be similar, at most about ``HELD`` at once.
 
     ``pos`` is the key's place in a row's set: where it is the first that both have, what follows it bounds the overlap. ``prev`` is the
     key before it (none where ``first``): rows that agree on that have met there, so a pair is given once for each run of shared keys.
+    ``parity`` has a row of 64-bit words for each: two sets differ in at least as many elements as these differ in bits.
     """
     _, inverse, counts = np.unique(comp, return_inverse=True, return_counts=True)
     rank = np.argsort(np.argsort(counts, kind="stable"), kind="stable")[inverse]
     order = np.argsort(rank, kind="stable")
     node, n, left, prev, first, rank = node[order], n[order], (n - pos)[order], prev[order], first[order], rank[order]
+    parity = None if parity is None else parity[order]
     stop = np.searchsorted(rank, rank, side="right")
     a, b, size = [], [], 0
     for i in range(int(np.searchsorted(rank, rank[-1]))):
         j = stop[i]
         new = (prev[j:] != prev[i]) | first[j:] | first[i]
         near = np.flatnonzero(new & (np.minimum(left[i], left[j:]) >= needed(n[i], n[j:], similarity))) + j
+        if parity is not None and len(near):
+            apart = np.bitwise_count(parity[near] ^ parity[i]).sum(axis=1, dtype=np.int64)
+            near = near[apart <= n[i] + n[near] - 2 * needed(n[i], n[near], similarity)]
         if len(near):
             a.append(np.full(len(near), node[i]))
             b.append(node[near])
@@ -340,11 +353,12 @@ def _similar(docs: DataFrame, id_col: str, text_col: str, shingle: int, similari
                 sets = [shingle_set(t.as_py(), shingle) for t in part.column(1)]
                 node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED + 1) for s in sets], dtype=np.uint64).view(np.int64)
                 first = [prefix_of(s, common, place, similarity).tobytes() for s in sets]
-                cols = [part.column(0), pa.array(node), pa.array([len(s) for s in sets], pa.int32()), pa.array(first, pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["id", "node", "n", "first"])
+                parity = pa.array([parity_of(s) for s in sets], pa.binary())
+                cols = [part.column(0), pa.array(node), pa.array([len(s) for s in sets], pa.int32()), pa.array(first, pa.binary()), parity]
+                yield pa.RecordBatch.from_arrays(cols, names=["id", "node", "n", "first", "parity"])
         tidy()
 
-    prints = stored(rows.mapInArrow(run, f"id {kind}, node long, n int, first binary"), "near-sets")
+    prints = stored(rows.mapInArrow(run, f"id {kind}, node long, n int, first binary, parity binary"), "near-sets")
     nodes = stored(prints.groupBy("node").agg(F.min("id").alias("least")), "near-nodes")
     alone = prints.join(nodes.select("node", F.col("least").alias("id")), ["node", "id"]).dropDuplicates(["node", "id"])
     marks = min(1 << 27, max(1 << 16, 16 * total))
@@ -449,7 +463,9 @@ def _similar(docs: DataFrame, id_col: str, text_col: str, shingle: int, similari
             if sum(len(h[0]) for h in held) > 1:
                 cols = [np.concatenate([h[i] for h in held]) for i in range(6)]
                 if (cols[1] != cols[1][0]).any():
-                    for a, b in cross_pairs(*cols, similarity):
+                    raw = [p for h in held for p in h[6].to_pylist()]
+                    parity = None if None in raw else np.frombuffer(b"".join(raw), dtype=np.uint64).reshape(len(raw), -1)
+                    for a, b in cross_pairs(*cols, similarity, parity):
                         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for rb in batches:
@@ -461,11 +477,14 @@ def _similar(docs: DataFrame, id_col: str, text_col: str, shingle: int, similari
                 if held_key != key[lo]:
                     yield from emit()
                     held_key, held = key[lo], []
-                held.append([c[lo:hi] for c in cols])
+                held.append([*[c[lo:hi] for c in cols], rb.column(7).slice(lo, hi - lo)])
         yield from emit()
 
     before = F.lag("key").over(Window.partitionBy("node").orderBy("pos"))
-    left = still_apart(joined).withColumn("prev", before).select("key", "node", "comp", "n", "pos", F.coalesce("prev", F.lit(0).cast("long")).alias("prev"), F.col("prev").isNull().alias("first"))
+    left = still_apart(joined).withColumn("many", F.count("*").over(Window.partitionBy("key"))).withColumn("prev", before)
+    left = left.select("key", "node", "comp", "n", "pos", F.coalesce("prev", F.lit(0).cast("long")).alias("prev"), F.col("prev").isNull().alias("first"), "many")
+    parities = prints.join(nodes.select("node", F.col("least").alias("id")), ["node", "id"]).groupBy("node").agg(F.first("parity").alias("parity"))
+    left = left.join(parities, "node", "left").withColumn("parity", F.when(F.col("many") >= MANY, F.col("parity"))).select("key", "node", "comp", "n", "pos", "prev", "first", "parity")
     more = linked(left.repartition("key").sortWithinPartitions("key").mapInArrow(compare, NEAR_PAIRS), "near-rest")
     same = prints.groupBy("id").agg(F.array_sort(F.collect_set("node")).alias("all")).where("size(all) > 1").select(F.col("all")[0].alias("a"), F.explode("all").alias("b"))
     roots = connected_components(links.unionByName(more).unionByName(same))

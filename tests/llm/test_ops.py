@@ -660,6 +660,7 @@ def test_added_and_cut_copies_just_above_the_likeness_are_linked(spark):
 def test_a_key_shared_by_all_loses_no_member(spark, monkeypatch):
     """A chain whose ends are far apart, all on one line of words, in any order of ids and with few pairs sent at once."""
     monkeypatch.setattr(simhash, "HELD", 2)
+    monkeypatch.setattr(simhash, "MANY", 4)
     rng = random.Random(12)
     line = [f"w{i}" for i in range(400)]
     steps = list(range(0, 200, 6))
@@ -701,6 +702,25 @@ def test_every_similar_pair_is_given_by_a_key_of_its_prefixes():
         assert given >= 1
 
 
+def test_parities_keep_every_similar_pair():
+    """The bits in which two parities differ are never more than the elements in which the sets do, at the limit too."""
+    rng = np.random.default_rng(21)
+    kept = 0
+    for _ in range(300):
+        both = int(rng.integers(4, 900))
+        own = int(rng.integers(0, both // 2 + 1))
+        pool = rng.integers(0, 2**63, both + 2 * own, dtype=np.int64).astype(np.uint64)
+        x, y = np.unique(pool[: both + own]), np.unique(np.concatenate([pool[:both], pool[both + own :]]))
+        similar_ = len(np.intersect1d(x, y)) >= 0.8 * len(np.union1d(x, y)) - 1e-9
+        rows = np.frombuffer(simhash.parity_of(x) + simhash.parity_of(y), dtype=np.uint64).reshape(2, -1)
+        assert np.bitwise_count(rows[0] ^ rows[1]).sum() <= len(np.setxor1d(x, y))
+        pair = (np.array([1, 2]), np.array([1, 2]), np.array([len(x), len(y)]), np.zeros(2, int), np.zeros(2, int), np.ones(2, bool), 0.8)
+        given, plain = (len(list(simhash.cross_pairs(*pair, parity))) for parity in (rows, None))
+        assert given == plain if similar_ else given <= plain
+        kept += similar_
+    assert 50 < kept < 250
+
+
 def test_strings_of_one_key_are_told_apart_by_their_digests(monkeypatch):
     """Where two strings of a block share a key, the digests decide, in what is sent and in what the answers mean."""
     block = suffix.Block(b"abcabdabc", np.array([9]))
