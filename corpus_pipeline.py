@@ -23,7 +23,11 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group that is 0.8 alike in five-word shingles; rows without id stay."""
+    """The document with the smallest id of each group that is 0.8 alike in five-word shingles; rows without id stay.
+
+    Groups are linked by SimHash, choices of blocks and verified distance, as in op9, and checked on the shingles; pairs that
+    fingerprints cannot bring together are added in an exact way.
+    """
     groups = similar_components(docs)
     gone = groups.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("doc_id"))
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

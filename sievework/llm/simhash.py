@@ -205,9 +205,11 @@ def op9_simhash_components(spark, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-# Similarity of word shingles, exact. Every pair of sets with a Jaccard similarity of at least t shares an element among the first
+# Similarity of word shingles, exact. Documents first meet by their fingerprints, on choices of blocks and within the distance, and their
+# sets decide. Fingerprints of pairs at 0.8 mostly differ in more bits than any choice of blocks can allow for, so what is still apart is
+# brought together in an exact way: every pair of sets with a Jaccard similarity of at least t shares an element among the first
 # n - ceil(t * n) + 1 of either, in any one order of all elements (prefix filter): whatever was added, cut or moved and however many
-# rows there are. Rows meet on these elements only, common elements come last, and each candidate is decided on the sets.
+# rows there are. The rest meets on these elements only, common elements come last, and each candidate is decided on the sets.
 
 NEAR = 0.8
 #: The share of all hashes that is counted to put common shingles last, in how many documents a shingle is common, and how many of these are
@@ -318,10 +320,24 @@ def _common_shingles(rows: DataFrame, total: int, shingle: int) -> tuple[np.ndar
     return h[order], place[order]
 
 
+def simhash_pairs(prints: DataFrame, room: Room) -> DataFrame:
+    """``a, b``: nodes of ``node, n, fp`` rows whose fingerprints are equal, each with the one before it in size, and nodes of fingerprints
+    that ``near_links`` links."""
+    own = prints.select("fp", "n", "node").distinct()
+    equal = own.select("node", F.lag("node").over(Window.partitionBy("fp").orderBy("n", "node")).alias("a")).where("a is not null").select("a", F.col("node").alias("b"))
+    distinct = room.stored(own.groupBy("fp").agg(F.min(F.struct("n", "node")).alias("one")).select("fp", F.col("one.node").alias("node")), "near-distinct")
+    near = near_links(distinct)
+    for c in ("a", "b"):
+        near = near.withColumnRenamed(c, "fp").join(distinct, "fp").drop("fp").withColumnRenamed("node", c)
+    return equal.unionByName(near.select("a", "b")).where("a <> b")
+
+
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = NEAR) -> DataFrame:
     """``id, component_id`` of documents whose sets of word shingles are ``similarity`` alike (Jaccard) or more, and chains of such.
 
-    Exact: no pair at ``similarity`` is left out and none below it is linked. Equal sets collapse first. Then rows of a key are compared
+    Exact: no pair at ``similarity`` is left out and none below it is linked. Equal sets collapse first. Then documents are linked by SimHash:
+    those whose fingerprints are equal or that ``near_links`` finds within its distance, checked on the sets. The rest of the links joins
+    what these leave apart: rows of a key are compared
     with the neighbour in size that they meet most, with the row of their keys that meets most others, and with ``MIXED`` in a mixed
     order, which joins most large groups at a few comparisons a row; then all rows of a key that are still apart are compared with each other. Only pairs of numbers are made for
     that, one for each run of keys that a pair shares, and the sets of candidates are made from their texts to decide them. Rows that share an id, of any type with an order, are one document; rows without one are left out; null
@@ -354,11 +370,12 @@ def _similar(docs: DataFrame, id_col: str, text_col: str, shingle: int, similari
                 node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED + 1) for s in sets], dtype=np.uint64).view(np.int64)
                 first = [prefix_of(s, common, place, similarity).tobytes() for s in sets]
                 parity = pa.array([parity_of(s) for s in sets], pa.binary())
-                cols = [part.column(0), pa.array(node), pa.array([len(s) for s in sets], pa.int32()), pa.array(first, pa.binary()), parity]
-                yield pa.RecordBatch.from_arrays(cols, names=["id", "node", "n", "first", "parity"])
+                fps = np.array([fingerprint(t.as_py()) for t in part.column(1)], dtype=np.uint64).view(np.int64)
+                cols = [part.column(0), pa.array(node), pa.array([len(s) for s in sets], pa.int32()), pa.array(first, pa.binary()), parity, pa.array(fps)]
+                yield pa.RecordBatch.from_arrays(cols, names=["id", "node", "n", "first", "parity", "fp"])
         tidy()
 
-    prints = stored(rows.mapInArrow(run, f"id {kind}, node long, n int, first binary, parity binary"), "near-sets")
+    prints = stored(rows.mapInArrow(run, f"id {kind}, node long, n int, first binary, parity binary, fp long"), "near-sets")
     nodes = stored(prints.groupBy("node").agg(F.min("id").alias("least")), "near-nodes")
     alone = prints.join(nodes.select("node", F.col("least").alias("id")), ["node", "id"]).dropDuplicates(["node", "id"])
     marks = min(1 << 27, max(1 << 16, 16 * total))
@@ -440,7 +457,15 @@ def _similar(docs: DataFrame, id_col: str, text_col: str, shingle: int, similari
         all_of = Window.partitionBy("key")
         return named.withColumn("least", F.min("comp").over(all_of)).withColumn("most", F.max("comp").over(all_of)).where("least <> most").drop("least", "most")
 
-    links = linked(neighbours(met), "near-first")
+    def of_two(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+        """Pairs whose rows are not joined yet."""
+        for c in ("a", "b"):
+            pairs = pairs.join(joined.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")), c, "left")
+        return pairs.where(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("a", "b")
+
+    links = linked(simhash_pairs(prints, room), "near-prints")
+    joined = stored(connected_components(links), "near-joined")
+    links = links.unionByName(linked(of_two(neighbours(met), joined), "near-first"))
     joined = stored(connected_components(links), "near-joined")
     both = F.struct("node", "comp", "n", "pos")
     named = lambda rows: rows.where("comp <> one.comp").select("key", "node", "n", "pos", *[F.col(f"one.{c}").alias(f"{c}_before") for c in ("node", "n", "pos")])

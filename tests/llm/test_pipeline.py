@@ -5,7 +5,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from sievework.llm import common
+from sievework.llm import common, simhash
 
 
 def test_pipeline_end_to_end(spark):
@@ -79,3 +79,24 @@ def test_a_passage_over_fifty_short_words_goes(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = {r.doc_id: r.text for r in P.cut_repeats(spark, docs, SMALL).collect()}
     assert got == dict(rows) | {1: "one é  two", 2: ""}
+
+
+def test_near_copies_meet_by_fingerprints_and_are_checked(spark, monkeypatch):
+    """Fingerprints that differ in few bits are linked on choices of blocks; shingles decide, also where fingerprints are equal or far apart."""
+    line = lambda seed, n: " ".join(f"w{seed}-{k}" for k in range(n))
+    again = " ".join(["one two three four five six seven"] * 300)
+    texts = {1: line(1, 400), 2: line(1, 400) + " " + line(2, 4), 3: line(3, 200), 4: line(3, 200) + " " + line(4, 45), 5: again + " " + line(5, 30), 6: again + " " + line(6, 30), 7: line(7, 90)}
+    fp = {i: simhash.fingerprint(t) for i, t in texts.items()}
+    apart = lambda i, j: (fp[i] ^ fp[j]).bit_count()
+    assert 0 < apart(1, 2) <= simhash.DISTANCE < apart(3, 4) and apart(5, 6) <= simhash.DISTANCE
+    linked = []
+
+    def seen(*args, made=simhash.near_links):
+        out = made(*args)
+        linked.extend((r.a % 2**64, r.b % 2**64) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(simhash, "near_links", seen)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id for r in P.drop_near_copies(spark, docs, SMALL).collect()} == {1, 3, 5, 6, 7}
+    assert {frozenset((fp[1], fp[2]))} <= {frozenset(p) for p in linked}
