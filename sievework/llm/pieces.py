@@ -8,8 +8,9 @@ model's byte pieces.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -25,6 +26,20 @@ HELD = 400_000
 UNKNOWN_PENALTY = 10.0
 
 
+class HeldChunks(dict):
+    """Parts of texts with their ids and score; looks up without a call for each, makes what is missing and holds it where it is short."""
+
+    def __init__(self, make: Callable[[str], tuple[bytes, float]]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, chunk: str) -> tuple[bytes, float]:
+        got = self.make(chunk)
+        if len(chunk) <= 64:
+            self[chunk] = got
+        return got
+
+
 class PieceModel:
     """Pieces, scores and byte pieces of a model file; encodes and decodes without loss.
 
@@ -62,33 +77,28 @@ class PieceModel:
         self.lone = "".join(c for c in "\n\r\t" if not any(c in p for p in normal))
         keep = f"[^ {re.escape(self.lone)}]"
         self.cut = re.compile(f"[{re.escape(self.lone)}]| *{keep}+| +" if self.lone else " *[^ ]+| +")
-        self.cache: dict[str, tuple[bytes, float]] = {}
+        self.cache = HeldChunks(self._chunk)
         self.held = held
 
     def viterbi(self, marked: str) -> tuple[list[int], float]:
         """Ids and score of the best segmentation of a text whose spaces are marks and whose literal marks are NUL-wrapped bytes."""
-        n = len(marked)
-        best, back, ids = [0.0] + [-1e300] * n, [0] * (n + 1), [-1] * (n + 1)
+        n, floor = len(marked), self.floor
+        best, back, ids = [0.0], [0], [-1]
         at = 0
-        floor = self.floor
-
-        def relax_unknown(upto):
-            nonlocal at
-            while at < upto:
-                s = best[at] + floor
-                if s > best[at + 1]:
-                    best[at + 1], back[at + 1], ids[at + 1] = s, at, -1
-                at += 1
-
         for last, (size, score, i) in self.automaton.iter(marked):
-            end = last + 1
-            if end > at:
-                relax_unknown(end)
-            start = end - size
-            s = best[start] + score
-            if s > best[end]:
-                best[end], back[end], ids[end] = s, start, i
-        relax_unknown(n)
+            while at <= last:
+                best.append(best[at] + floor)
+                back.append(at)
+                ids.append(-1)
+                at += 1
+            s = best[at - size] + score
+            if s > best[at]:
+                best[at], back[at], ids[at] = s, at - size, i
+        while at < n:
+            best.append(best[at] + floor)
+            back.append(at)
+            ids.append(-1)
+            at += 1
         out, p = [], n
         while p:
             q, i = back[p], ids[p]
@@ -101,6 +111,9 @@ class PieceModel:
         return out[::-1], best[n]
 
     def _chunk(self, chunk: str) -> tuple[bytes, float]:
+        if SPACE not in chunk:
+            ids, score = self.viterbi(chunk.replace(" ", SPACE))
+            return struct.pack(f"<{len(ids)}i", *ids), score
         ids, score = [], 0.0
         for k, part in enumerate(chunk.split(SPACE)):
             if k:
@@ -110,7 +123,7 @@ class PieceModel:
                 got, s = self.viterbi(part.replace(" ", SPACE))
                 ids += got
                 score += s
-        return np.array(ids, dtype="<i4").tobytes(), score
+        return struct.pack(f"<{len(ids)}i", *ids), score
 
     def encode(self, text: str) -> tuple[np.ndarray, float]:
         """Ids and score of a whole text. Parts that no piece crosses are segmented once while they are held."""
@@ -118,20 +131,15 @@ class PieceModel:
             return np.zeros(0, dtype="<i4"), 0.0
         if len(self.cache) > self.held:
             self.cache.clear()
-        cache, out, score = self.cache, [], 0.0
-        for c in self.cut.findall(" " + text):
-            got = cache.get(c)
-            if got is None:
-                got = self._chunk(c)
-                if len(c) <= 64:
-                    cache[c] = got
-            out.append(got[0])
-            score += got[1]
-        return np.frombuffer(b"".join(out), dtype="<i4"), score
+        got = list(map(self.cache.__getitem__, self.cut.findall(" " + text)))
+        score = 0.0
+        for g in got:
+            score += g[1]
+        return np.frombuffer(b"".join([g[0] for g in got]), dtype="<i4"), score
 
     def decode(self, ids) -> str:
         texts = self.texts
-        raw = b"".join([texts[i] for i in ids])
+        raw = b"".join([texts[i] for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)])
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", errors="replace")
 
 

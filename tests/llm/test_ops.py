@@ -790,3 +790,29 @@ def test_pieces_query_and_odd_rows(spark, odd, empty):
     got = pieces.decode_pieces(pieces.encode_pieces(odd, path), path).collect()
     assert sorted(r.decoded for r in got) == sorted(x or "" for _, x in ODD)
     assert pieces.encode_pieces(empty, path).count() == 0
+
+
+def test_pieces_take_few_calls(model):
+    """A held part costs no call of its own and a new one no call for each place; also for characters without a piece."""
+    import sys
+
+    text = " ".join(f"word{k % 40} çédille{k % 7} 一ก{k % 5}" for k in range(400))
+
+    def calls():
+        n = 0
+
+        def count(frame, event, arg):
+            nonlocal n
+            n += event == "call"
+
+        sys.setprofile(count)
+        try:
+            ids, _ = model.encode(text)
+        finally:
+            sys.setprofile(None)
+        assert model.decode(ids) == text
+        return n
+
+    model.cache.clear()
+    new = calls()
+    assert new <= 4 * len(model.cache) and calls() <= 5
