@@ -223,6 +223,9 @@ MIXED = 6
 #: Bits of the parity of a set's hashes, and from how many rows of a key on pairs are looked at by them. They change time, not results.
 PARITY = 1024
 MANY = 32
+#: So many links at most are joined to groups in the driver, 16 bytes each; more take rounds over all executors. It changes time and disk,
+#: not results.
+LINKS_HERE = 1 << 18
 #: Pairs sent at once.
 HELD = 65_536
 #: Texts and pairs of sets that cross to Python at once.
@@ -464,22 +467,22 @@ def _similar(docs: DataFrame, id_col: str, text_col: str, shingle: int, similari
         return pairs.where(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("a", "b")
 
     links = linked(simhash_pairs(prints, room), "near-prints")
-    joined = stored(connected_components(links), "near-joined")
+    joined = stored(connected_components(links, few=LINKS_HERE), "near-joined")
     links = links.unionByName(linked(of_two(neighbours(met), joined), "near-first"))
-    joined = stored(connected_components(links), "near-joined")
+    joined = stored(connected_components(links, few=LINKS_HERE), "near-joined")
     both = F.struct("node", "comp", "n", "pos")
     named = lambda rows: rows.where("comp <> one.comp").select("key", "node", "n", "pos", *[F.col(f"one.{c}").alias(f"{c}_before") for c in ("node", "n", "pos")])
 
     weighed = still_apart(joined).withColumn("many", F.count("*").over(Window.partitionBy("key"))).withColumn("weight", F.sum("many").over(Window.partitionBy("node")))
     heavy = weighed.withColumn("one", F.max_by(both, F.struct("weight", "node")).over(Window.partitionBy("key")))
     links = links.unionByName(linked(neighbours(named(heavy)), "near-turn"))
-    joined = stored(connected_components(links), "near-joined")
+    joined = stored(connected_components(links, few=LINKS_HERE), "near-joined")
 
     mixed = Window.partitionBy("key").orderBy(F.xxhash64("node"), "node")
     some = still_apart(joined).select("*", F.array(*[F.lag(both, k).over(mixed) for k in range(1, MIXED + 1)]).alias("some"))
     some = some.select("key", "node", "comp", "n", "pos", F.explode("some").alias("one")).where(F.col("one").isNotNull())
     links = links.unionByName(linked(neighbours(named(some), True), "near-turn"))
-    joined = stored(connected_components(links), "near-joined")
+    joined = stored(connected_components(links, few=LINKS_HERE), "near-joined")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held = None, []
@@ -512,7 +515,7 @@ def _similar(docs: DataFrame, id_col: str, text_col: str, shingle: int, similari
     left = left.join(parities, "node", "left").withColumn("parity", F.when(F.col("many") >= MANY, F.col("parity"))).select("key", "node", "comp", "n", "pos", "prev", "first", "parity")
     more = linked(left.repartition("key").sortWithinPartitions("key").mapInArrow(compare, NEAR_PAIRS), "near-rest")
     same = prints.groupBy("id").agg(F.array_sort(F.collect_set("node")).alias("all")).where("size(all) > 1").select(F.col("all")[0].alias("a"), F.explode("all").alias("b"))
-    roots = connected_components(links.unionByName(more).unionByName(same))
+    roots = connected_components(links.unionByName(more).unionByName(stored(same, "near-same")), few=LINKS_HERE)
     classes = stored(nodes.join(roots, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component")), "near-classes")
     ids = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     classes = classes.join(ids, "component").select("node", "component_id")
