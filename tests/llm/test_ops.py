@@ -429,6 +429,35 @@ def test_weighted_sampling_odd_rows(spark, odd, empty):
     assert (s.signature("a b c " * 50 + " ".join(map(str, range(100)))) == weighted.Sampler(64).signature("a b c " * 50 + " ".join(map(str, range(100))))).all()
 
 
+def test_weighted_sampling_draws_common_words_once(monkeypatch):
+    drawn = Counter()
+    plain = weighted.draw
+    monkeypatch.setattr(weighted, "draw", lambda words, *a: drawn.update(words) or plain(words, *a))
+    common = [f"c{k}" for k in range(40)]
+    s = weighted.Sampler(16, held=400)
+    lines = [" ".join([*common, *(f"w{i}_{k}" for k in range(20))]) for i in range(100)]
+    got = [s.signature(x) for x in lines]
+    assert max(drawn[w] for w in common) == 1 and len(s.at) <= 400
+    assert all((weighted.Sampler(16).signature(x) == y).all() for x, y in zip(lines, got, strict=True))
+
+
+def test_weighted_sampling_together_and_alone(spark):
+    t = sorted(texts(spark).items())
+    own = [x for _, x in t]
+    changed = [weighted.edited(x, own[(k + 1) % len(own)]) for k, x in enumerate(own)]
+    alone = [[weighted.Sampler().signature(x) for x in xs] for xs in (own, changed)]
+    small = weighted.Sampler(held=300)  # long texts in parts, short ones together, what is held dropped again and again
+    assert (small.signatures(own + changed) == np.concatenate(alone)).all()
+    for rows in (7, weighted.TOGETHER):  # batches that end amid what is taken together, and with it
+        with common.batches_of(spark, rows):
+            got = {r.doc_id: r for r in weighted.op6_weighted_sampling(spark, SMALL).collect()}
+        assert len(got) == len(t)
+        for k, (i, _) in enumerate(t):
+            mine, theirs, following = alone[0][k], alone[1][k], alone[0][(k + 1) % len(t)]
+            assert (got[i].fingerprint, got[i].edited_fingerprint) == (mine.tobytes().hex(), theirs.tobytes().hex())
+            assert (got[i].near_edited, got[i].near_next) == ((mine == theirs).mean(), (mine == following).mean())
+
+
 # WARC
 
 
