@@ -542,6 +542,24 @@ def test_suffix_dedup_odd_rows(odd, empty):
     assert suffix.find_repeats(empty).count() == 0
 
 
+def test_suffix_dedup_planted_passages(spark, tmp_path):
+    """The query on passages of over 50 words in two documents each: from 400 bytes on they go, shorter ones stay, nothing else is cut."""
+    rng = random.Random(8)
+    line = lambda n, least, most: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(least, most))) for _ in range(n))
+    passages = [line(51 + k, 2 + k % 7, 6 + k % 7) for k in range(20)]
+    items = [*[f"{line(80, 3, 7)}\n{p}\n{line(30, 3, 7)}" for p in passages for _ in range(2)], line(90, 3, 7), "", None]
+    assert 0 < sum(len(p) < 390 for p in passages) < 20
+    spark.createDataFrame(list(enumerate(items)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in suffix.op8_suffix_dedup(spark, str(tmp_path)).collect()}
+    raw = [(t or "").encode() for t in items]
+    for i, (t, m) in enumerate(zip(raw, brute_repeats(raw, 400), strict=True)):
+        kept = bytes(np.frombuffer(t, dtype=np.uint8)[~m]) if t else b""
+        assert (got[i].n_bytes, got[i].n_removed, got[i].text) == (len(t), int(m.sum()), kept.decode())
+        assert got[i].kept_sha256 == hashlib.sha256(kept).hexdigest()
+        if i < 40 and not 390 < len(passages[i // 2]) < 400:  # a few bytes around both may be equal by chance
+            assert (passages[i // 2] in got[i].text) == (len(passages[i // 2]) < 400)
+
+
 # SimHash
 
 
