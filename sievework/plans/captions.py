@@ -94,7 +94,7 @@ def x13(spark, sf):
 @query("x14_sentences")
 def x14(spark, sf):
     s = X.sentences(F.col("text"))
-    return docs(spark, sf).select("doc_id", F.size(s).alias("n"), F.element_at(s, 1).alias("first"))
+    return docs(spark, sf).select("doc_id", F.size(s).alias("n"), F.get(s, 0).alias("first"))
 
 
 @query("x15_question_trimming")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sievework.functions import geometry as G
 from sievework.functions import text as X
 from sievework.operators import graph, planning, quotas, ranking, search, similarity, tables
+from sievework.plans import registry
 from sievework.sources import files
 
 
@@ -281,3 +282,10 @@ def test_score_and_sort_equals_brute_force(spark):
     got = registry.queries()["c05_score_and_sort"](spark, SMALL).collect()
     assert {r.id: r.tier for r in got} == want and set(want.values()) == {1, 2, 3, 4, 5}
     assert all(r.stale == (placed[r.id] != f"Brand#{r.tier}") for r in got)
+
+
+def test_first_of_no_sentences(spark, tmp_path):
+    rows = spark.createDataFrame([(1, ""), (2, " \n\t"), (3, None), (4, "One. Two.")], "doc_id long, text string")
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.n, r["first"]) for r in registry.queries()["x14_sentences"](spark, str(tmp_path)).collect()}
+    assert got == {1: (0, None), 2: (0, None), 3: (None, None), 4: (2, "One.")}
