@@ -108,8 +108,10 @@ def c10(spark, sf):
     """with r as (select conv_id, role, count(*) * 10 + max(length(text)) / 100.0 as s from conversations group by 1, 2) select conv_id, arg_max(role, s) as subject, round(max(s), 6)::double as score, count(*) > 1 as several from r group by 1""",
 )
 def c11(spark, sf):
-    r = load(spark, sf, "conversations").groupBy("conv_id", "role").agg((F.count("*") * 10 + F.max(F.char_length("text")) / 100.0).alias("s"))
-    return r.groupBy("conv_id").agg(F.max_by("role", "s").alias("subject"), F.round(F.max("s"), 6).alias("score"), (F.count("*") > 1).alias("several"))
+    r = load(spark, sf, "conversations").groupBy("conv_id", "role").agg((F.count("*") * 10 + F.max(F.char_length("text")) / 100.0).alias("s"), F.min("turn").alias("t"))
+    # Of equal scores the role that spoke first, as one reader of the turns meets them.
+    first = F.when(F.col("role").isNotNull() & F.col("s").isNotNull(), F.struct("s", -F.col("t")))
+    return r.groupBy("conv_id").agg(F.max_by("role", first).alias("subject"), F.round(F.max("s"), 6).alias("score"), (F.count("*") > 1).alias("several"))
 
 
 @query("c12_border_action", "select p_partkey, case when p_size < 5 then 'none' when p_size * 20 < 300 then 'review' when p_retailprice < 950 then 'too small' else 'crop' end as action from part")

@@ -289,3 +289,11 @@ def test_first_of_no_sentences(spark, tmp_path):
     rows.write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: (r.n, r["first"]) for r in registry.queries()["x14_sentences"](spark, str(tmp_path)).collect()}
     assert got == {1: (0, None), 2: (0, None), 3: (None, None), 4: (2, "One.")}
+
+
+def test_subject_of_equal_scores_spoke_first(spark, tmp_path):
+    rows = [(c, t, role, "x" * 100) for c in range(40) for t, role in enumerate(("user", "assistant", "system") if c % 2 else ("system", "assistant", "user"))]
+    rows += [(40, 0, None, "long " * 100), (40, 1, "user", "short"), (41, 0, "system", None), (41, 1, "user", "")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7, "text", "turn").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r.conv_id: r.subject for r in registry.queries()["c11_subject_choice"](spark, str(tmp_path)).collect()}
+    assert got == {c: "user" if c % 2 or c == 40 else "system" for c in range(42)}
