@@ -121,5 +121,5 @@ def d14(spark, sf):
 @query("d15_ledger_seed", "select ts::date as day, event_type as method, count(*) as attempts, count(*) filter (where value < 100) as ok from (select distinct ts, event_type, value from events) group by 1, 2")
 def d15(spark, sf):
     e = load(spark, sf, "events").select("ts", "event_type", "value")
-    twice = e.unionByName(e).dropDuplicates(["ts", "event_type"])
+    twice = e.unionByName(e).dropDuplicates(["ts", "event_type", "value"])
     return twice.groupBy(F.to_date("ts").alias("day"), F.col("event_type").alias("method")).agg(F.count("*").alias("attempts"), F.count(F.when(F.col("value") < 100, 1)).alias("ok"))

@@ -297,3 +297,9 @@ def test_subject_of_equal_scores_spoke_first(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7, "text", "turn").write.parquet(str(tmp_path / "conversations.parquet"))
     got = {r.conv_id: r.subject for r in registry.queries()["c11_subject_choice"](spark, str(tmp_path)).collect()}
     assert got == {c: "user" if c % 2 or c == 40 else "system" for c in range(42)}
+
+
+def test_ledger_keeps_values_of_one_moment(spark, tmp_path):
+    rows = spark.sql("select timestamp_ntz'2024-01-01 10:00:00' as ts, 'view' as event_type, v as value from values (1.5D), (200D), (200D), (3D) t(v)")
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    assert [tuple(r)[1:] for r in registry.queries()["d15_ledger_seed"](spark, str(tmp_path)).collect()] == [("view", 3, 2)]
