@@ -12,12 +12,19 @@ def day_bounds(day: Column) -> tuple[Column, Column]:
     return start, start + 86_399
 
 
+def _dated(moment: Column, rest: str) -> Column:
+    """The year of a moment, four digits from 0 to 9999 and bare elsewhere, where a pattern would put signs and zeros, before the rest."""
+    y = F.year(moment)
+    bare = F.when(y.between(0, 9999), F.lpad(y.cast("string"), 4, "0")).otherwise(y.cast("string"))
+    return F.concat(bare, F.date_format(moment, rest))
+
+
 def month_of(seconds: Column) -> Column:
-    return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM")
+    return _dated(F.timestamp_seconds(seconds), "-MM")
 
 
 def iso_day(seconds: Column) -> Column:
-    return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd")
+    return _dated(F.timestamp_seconds(seconds), "-MM-dd")
 
 
 def period_start(day: Column, reset_day: int) -> Column:

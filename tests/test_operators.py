@@ -9,6 +9,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from sievework.functions import dates
 from sievework.functions import geometry as G
 from sievework.functions import text as X
 from sievework.operators import graph, planning, quotas, ranking, search, similarity, tables
@@ -303,3 +304,9 @@ def test_ledger_keeps_values_of_one_moment(spark, tmp_path):
     rows = spark.sql("select timestamp_ntz'2024-01-01 10:00:00' as ts, 'view' as event_type, v as value from values (1.5D), (200D), (200D), (3D) t(v)")
     rows.write.parquet(str(tmp_path / "events.parquet"))
     assert [tuple(r)[1:] for r in registry.queries()["d15_ledger_seed"](spark, str(tmp_path)).collect()] == [("view", 3, 2)]
+
+
+def test_years_beyond_four_digits(spark):
+    at = {253402300799: "9999-12-31", 253402300800: "10000-01-01", 520000000000: "18448-02-22", -50000000000: "0385-07-25", -62167219201: "-1-12-31"}
+    df = spark.createDataFrame([(k,) for k in at], "s long").select("s", dates.month_of(F.col("s")).alias("month"), dates.iso_day(F.col("s")).alias("day"))
+    assert {r.s: (r.month, r.day) for r in df.collect()} == {k: (v[:-3], v) for k, v in at.items()}
