@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,52 +13,160 @@ from pyspark.sql.window import Window
 
 from sievework.operators.graph import connected_components, ensure_checkpoint_dir
 
-#: Rows of a block of the right side of a neighbour search; a block and a batch fit a task's memory many times.
-BLOCK = 4096
+#: Most rows of the two sides of a tile of a neighbour search; what a task holds is a tile, a few times over.
+TILE = (32_768, 131_072)
+#: Rows of the parts of a tile that are compared at once, so that their products stay in a core's cache.
+PART = (512, 2048)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    m = flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
-    norm = np.linalg.norm(m, axis=1, keepdims=True) if len(column) else m
-    return m / np.where(norm == 0, 1, norm)
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The place of each distinct row's first, in that order; all places by distinct row, and where each one's begin (and the end)."""
+    whole = np.ascontiguousarray(rows).view(f"V{rows.dtype.itemsize * rows.shape[1]}").ravel()
+    _, first, of = np.unique(whole, return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    turn = np.empty(len(order), np.int64)
+    turn[order] = np.arange(len(order))
+    of = turn[of]
+    return first[order], np.argsort(of, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(order)))])
+
+
+def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Places ``start`` to ``start + count``, one range after the other."""
+    return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - start, count)
+
+
+def _first_of_each(row: np.ndarray, far: np.ndarray, other: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` nearest of each row, ties by ``other``; in the order of rows."""
+    order = np.lexsort((other, far, row))
+    at = row[order]
+    new = np.concatenate([[True], at[1:] != at[:-1]])
+    start = np.flatnonzero(new)
+    return order[np.arange(len(at)) - np.repeat(start, np.diff(np.append(start, len(at)))) < k]
+
+
+class _Nearest:
+    """The ``k`` nearest places of each of ``n`` rows, kept as places come in."""
+
+    def __init__(self, n: int, k: int, none: int):
+        self.k, self.far, self.at = k, np.full((n, k), np.inf), np.full((n, k), none, np.int64)
+
+    def add(self, row: np.ndarray, far: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Takes in places and gives the rows that they are for."""
+        rows = np.unique(row)
+        r, f, a = (np.concatenate(v) for v in ((np.repeat(rows, self.k), row), (self.far[rows].ravel(), far), (self.at[rows].ravel(), at)))
+        kept = _first_of_each(r, f, a, self.k)
+        self.far[rows], self.at[rows] = f[kept].reshape(-1, self.k), a[kept].reshape(-1, self.k)
+        return rows
+
+
+def _where(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the few true cells, eight cells looked at together."""
+    flat = hit.ravel()
+    if flat.size % 8:
+        return np.nonzero(hit)
+    cells = (np.flatnonzero(flat.view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    return np.divmod(cells[flat[cells]], hit.shape[1])
+
+
+def _cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Cosines of rows with rows as a loop over doubles gives them, so that equal vectors tie; NaN where one has no length."""
+    total = lambda a, b: np.cumsum(a * b, axis=1)[:, -1]
+    out = np.empty(len(x))
+    for lo in range(0, len(x), 16_384):
+        a, b = x[lo : lo + 16_384].astype(np.float64), y[lo : lo + 16_384].astype(np.float64)
+        with np.errstate(all="ignore"):
+            out[lo : lo + 16_384] = np.clip(total(a, b) / np.sqrt(total(a, a) * total(b, b)), -1, 1)
+    return out
+
+
+def _unit(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of length one in single precision, and which rows have no length."""
+    with np.errstate(all="ignore"):
+        norm = np.sqrt(np.einsum("ij,ij->i", m, m, dtype=np.float64))
+        odd = ~(np.isfinite(norm) & (norm > 0))
+        out = (m / np.where(odd, 1, norm)[:, None]).astype(np.float32)
+    out[odd] = 0
+    return out, odd
+
+
+def _nearest_rows(x: np.ndarray, y: np.ndarray, k: int, floor: float) -> _Nearest:
+    """The ``k`` rows of ``y`` nearest to each row of ``x``, the first of equals. Products in single precision leave out what is farther
+    than the ``k`` found so far by more than their error; the cosines of the rest decide."""
+    (xu, x_odd), (yu, y_odd), slack = _unit(x), _unit(y), max(1e-5, x.shape[1] * 2e-7)
+    out = _Nearest(len(x), k, len(y))
+    for lo in range(0, len(x), PART[0]):
+        part = slice(lo, lo + PART[0])
+        least = np.full((len(xu[part]), 1), floor - slack, np.float32)
+        for j in range(0, len(y), PART[1]):
+            sims = xu[part] @ yu[j : j + PART[1]].T
+            if x_odd[part].any():
+                sims[x_odd[part]] = np.inf
+            if y_odd[j : j + PART[1]].any():
+                sims[:, y_odd[j : j + PART[1]]] = np.inf
+            if j == 0 and sims.shape[1] >= k:
+                least = np.maximum(least, np.partition(sims, -k, axis=1)[:, [-k]] - 3 * slack)
+            row, at = _where(sims >= least)
+            if len(row):
+                cos = _cosines(x[lo + row], y[j + at])
+                kept = ~(cos < floor)
+                if kept.any():
+                    rows = out.add(lo + row[kept], -np.where(np.isnan(cos), np.inf, cos)[kept], j + at[kept])
+                    worst = -out.far[rows, -1:]
+                    least[rows - lo] = np.maximum(least[rows - lo], np.where(np.isposinf(worst), np.nan, worst - 2 * slack))
+    return out
+
+
+def _in_tiles(queries: DataFrame, base: DataFrame, cut: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides, ``id, v``, with ``g, b``: every group of queries meets every block of the base in one tile. Tiles are bounded, and as
+    many as keep the machine busy; a row is sent once for each group or block of the other side."""
+    spark = queries.sparkSession
+    n, m = queries.count(), base.count()
+    cut = cut or max(1, -(-m // TILE[1]))
+    groups = max(1, -(-n // TILE[0]), min(-(-n // 1024), -(-3 * spark.sparkContext.defaultParallelism // cut)))
+    dealt = lambda d, n, own, other, k: d.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n)).cast("long")).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long"))))
+    return dealt(queries, groups, "g", "b", cut), dealt(base, cut, "b", "g", groups)
 
 
 def cosine_neighbours(queries: DataFrame, base: DataFrame, ident: str, vector: str, k: int, floor: float = -1.0, skip_self: bool = True, blocks: int | None = None) -> DataFrame:
     """``id, other, cos``: the ``k`` nearest rows of ``base`` by cosine for each query, ties by id, at or above a floor. Exact.
 
-    The base is cut into blocks of bounded size; each pair of a query group and a block is a task that multiplies two matrices and
-    keeps ``k`` a query, and the per-block winners are ranked once more. Work grows with queries times base, memory does not.
+    Groups of queries meet blocks of the base in tiles of bounded size. In a tile equal vectors are one; products of two matrices
+    find what may be among the nearest, cosines of those pairs decide, and the winners of the tiles are ranked once more. Work grows
+    with queries times base, memory does not. A vector without length has the cosine NaN to all, which is above any number.
     """
-    spark = queries.sparkSession
-    n = base.count()
-    cut = blocks or max(1, -(-n // BLOCK))
-    groups = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-queries.count() // 512)))
-    q = queries.where(F.col(vector).isNotNull()).select(F.col(ident).alias("id"), F.col(vector).alias("v"), F.pmod(F.xxhash64(ident), F.lit(groups)).alias("g"))
-    b = base.where(F.col(vector).isNotNull()).select(F.col(ident).alias("id"), F.col(vector).alias("v"), F.pmod(F.xxhash64(ident), F.lit(cut)).alias("b"))
-    q = q.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(cut - 1)))).withColumn("b", F.col("b").cast("long"))
-    b = b.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumn("g", F.col("g").cast("long"))
+    q, b = (d.where(F.col(vector).isNotNull()).select(F.col(ident).alias("id"), F.col(vector).alias("v")) for d in (queries, base))
+    q, b = _in_tiles(q, b, blocks)
+    most = k + 1 if skip_self else k
 
     def pair(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.table({"id": pa.array([], pa.int64()), "other": pa.array([], pa.int64()), "cos": pa.array([], pa.float64())})
+        right = right.sort_by("id")
         li, ri = left.column("id").to_numpy().astype(np.int64), right.column("id").to_numpy().astype(np.int64)
-        order = np.argsort(ri, kind="stable")
-        ri, y = ri[order], _matrix(right.column("v").combine_chunks())[order]
-        x = _matrix(left.column("v").combine_chunks())
-        out = [[], [], []]
-        for lo in range(0, len(li), 512):
-            sims = x[lo : lo + 512] @ y.T
-            if skip_self:
-                sims[li[lo : lo + 512, None] == ri[None, :]] = -2.0
-            top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-            value = np.take_along_axis(sims, top, axis=1)
-            keep = value >= max(floor, -1.5)
-            out[0].append(np.repeat(li[lo : lo + 512], keep.sum(axis=1)))
-            out[1].append(ri[top][keep])
-            out[2].append(value[keep])
-        a, o, c = (np.concatenate(v) for v in out)
-        return pa.table({"id": a, "other": o, "cos": c})
+        x, y = _matrix(left.column("v")), _matrix(right.column("v"))
+        (x_first, x_all, x_start), (y_first, y_all, y_start) = _distinct(x), _distinct(y)
+        near = _nearest_rows(x[x_first], y[y_first], most, floor)
+        row, place = np.nonzero(near.at < len(y_first))
+        far, at = near.far[row, place], near.at[row, place]
+        n = np.minimum(np.diff(y_start)[at], most)
+        row, far, other = np.repeat(row, n), np.repeat(far, n), ri[y_all[_ranges(y_start[at], n)]]
+        kept = _first_of_each(row, far, other, most) if len(row) else np.zeros(0, np.int64)
+        row, far, other = row[kept], far[kept], other[kept]
+        start = np.searchsorted(row, np.arange(len(x_first) + 1))
+        of = np.repeat(np.arange(len(x_first)), np.diff(x_start))
+        n = np.diff(start)[of]
+        place, who = _ranges(start[of], n), np.repeat(x_all, n)
+        got, far, other = li[who], far[place], other[place]
+        if skip_self:
+            apart = got != other
+            who, got, far, other = who[apart], got[apart], far[apart], other[apart]
+        kept = _first_of_each(who, far, other, k) if len(who) else np.zeros(0, np.int64)
+        return pa.table({"id": got[kept], "other": other[kept], "cos": np.where(np.isneginf(far), np.nan, -far)[kept]})
 
     near = q.groupBy("g", "b").cogroup(b.groupBy("g", "b")).applyInArrow(pair, "id long, other long, cos double")
     w = Window.partitionBy("id").orderBy(F.desc("cos"), "other")
@@ -155,17 +264,23 @@ def group_ids(edges: DataFrame, nodes: DataFrame | None = None, ident: str = "id
 
 
 def steps_from(edges: DataFrame, starts: DataFrame) -> DataFrame:
-    """``node, root, steps``: breadth-first distance from each start within its component, one join a step until nothing new is reached."""
+    """``node, root, steps``: breadth-first distance from each start within its component, one join a step until nothing new is reached.
+
+    What a step reaches lies at most one step from the front, so only the last two fronts are looked through for it.
+    """
     ensure_checkpoint_dir(edges.sparkSession)
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct().checkpoint()
-    seen = starts.select(F.col("node"), F.col("node").alias("root"), F.lit(0).alias("steps")).checkpoint()
-    front = seen
+    front = starts.select(F.col("node"), F.col("node").alias("root"), F.lit(0).alias("steps")).checkpoint()
+    seen, known = [front], front
     for step in itertools.count(1):
         reach = front.join(both, front.node == both.u).select(F.col("v").alias("node"), "root").distinct()
-        front = reach.join(seen, ["node", "root"], "left_anti").withColumn("steps", F.lit(step)).checkpoint()
-        if front.isEmpty():
-            return seen
-        seen = seen.unionByName(front).checkpoint()
+        new = reach.join(known, ["node", "root"], "left_anti").withColumn("steps", F.lit(step)).checkpoint()
+        if new.isEmpty():
+            return reduce(DataFrame.unionByName, seen)
+        front, known = new, front.unionByName(new)
+        seen.append(new)
+        if len(seen) > 20:
+            seen = [reduce(DataFrame.unionByName, seen).checkpoint()]
 
 
 def against_base(queries: DataFrame, base: DataFrame, ident: str, vector: str, sure: float, candidate: float, tested: DataFrame | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sievework.operators import similarity as S
+from sievework.operators.graph import ensure_checkpoint_dir
 from sievework.operators.ranking import seeded_order, top_of_each
 from sievework.plans.registry import load, query
 
@@ -156,7 +157,8 @@ def g08(spark, sf):
     f"{REACH}, d as (select component as node, component as root, 0 as steps from (select distinct component from comp) union select s.v, d.root, d.steps + 1 from d join s on d.node = s.u where d.steps < 12) select node, root, min(steps) as steps from d group by 1, 2",
 )
 def g09(spark, sf):
-    e = edges(spark, sf)
+    ensure_checkpoint_dir(spark)
+    e = edges(spark, sf).checkpoint()
     roots = S.group_ids(e).select(F.col("component").alias("node")).distinct()
     return S.steps_from(e, roots)
 
@@ -214,6 +216,7 @@ def m03(spark, sf):
 
 @query("m05_isolation", f"with {KNN}, i as (select id, 1 - avg(cos) as isolation from k group by 1) select id, round(isolation, 6) as isolation, isolation >= (select quantile_cont(isolation, 0.95) from i) as isolated from i")
 def m05(spark, sf):
-    i = S.isolation(neighbours(spark, sf))
+    ensure_checkpoint_dir(spark)
+    i = S.isolation(neighbours(spark, sf)).checkpoint()
     gate = i.agg(F.percentile("isolation", 0.95).alias("gate"))
     return i.join(F.broadcast(gate)).select("id", F.round("isolation", 6).alias("isolation"), (F.col("isolation") >= F.col("gate")).alias("isolated"))

@@ -4,6 +4,8 @@ import json
 import random
 import re
 
+import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 from conftest import SMALL
@@ -310,3 +312,37 @@ def test_years_beyond_four_digits(spark):
     at = {253402300799: "9999-12-31", 253402300800: "10000-01-01", 520000000000: "18448-02-22", -50000000000: "0385-07-25", -62167219201: "-1-12-31"}
     df = spark.createDataFrame([(k,) for k in at], "s long").select("s", dates.month_of(F.col("s")).alias("month"), dates.iso_day(F.col("s")).alias("day"))
     assert {r.s: (r.month, r.day) for r in df.collect()} == {k: (v[:-3], v) for k, v in at.items()}
+
+
+def test_neighbours_of_equal_and_empty_vectors(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    v = rng.standard_normal((700, 64), dtype=np.float32)
+    v[rng.permutation(700)[:60]] = v[3]
+    v[[10, 500]] = 0
+    v[[20, 30]] = v[3] * 2, v[40]
+    pd.DataFrame({"vec_id": rng.permutation(700).astype("int64"), "embedding": list(v), "label": np.arange(700, dtype="int32") % 5}).to_parquet(tmp_path / "embeddings.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet'")
+    for name in ("j14_cosine_neighbours", "j14_symmetric_pairs", "m03_vote_shares"):
+        df = registry.queries()[name](spark, str(tmp_path))
+        want = duck.execute(f"select {', '.join(df.columns)} from ({registry.oracle_sql()[name]})").fetchall()
+        assert sorted(repr(tuple(r)) for r in df.collect()) == sorted(map(repr, want))
+
+
+def test_tiles_send_few_copies(spark):
+    n = 300_000
+    q, b = similarity._in_tiles(spark.range(n), spark.range(n))
+    assert q.count() <= 3 * n and b.count() <= 12 * n
+    assert q.select("g", "b").distinct().count() == b.select("g", "b").distinct().count()
+
+
+def test_steps_over_branches_and_rings(spark):
+    rng = random.Random(6)
+    pairs = {(i, rng.randrange(max(0, i - 3), i)) for i in range(1, 90)} | {(0, 7), (20, 41), (5, 80)}
+    near = {i: {b for e in pairs for a, b in (e, e[::-1]) if a == i} for i in range(90)}
+    want, front = {0: 0}, [0]
+    while front:
+        front = [b for a in front for b in near[a] if want.setdefault(b, want[a] + 1) == want[a] + 1]
+    df = spark.createDataFrame(sorted(pairs), "a long, b long").coalesce(1)
+    got = similarity.steps_from(df, spark.createDataFrame([(0,)], "node long")).collect()
+    assert {r.node: r.steps for r in got} == want and len(got) == 90
