@@ -193,12 +193,68 @@ def unsigned_hex_to_long(text: Column) -> Column:
     return F.conv(text, 16, -10).cast("long")
 
 
+#: The widest limit at which codes still meet on equal runs of bits; beyond it runs are so short that tiles of all rows cost less.
+RUNS_TO = 7
+#: Rows of a side of a tile that gives all its close pairs, which can be its square.
+PAIRS_TILE = 4096
+#: As PART, for codes.
+CODES = (512, 8192)
+
+
+def _close(x: np.ndarray, y: np.ndarray, below: np.ndarray, step: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and columns of codes that differ in fewer bits than their row's ``below``, and in how many."""
+    found = []
+    for lo in range(0, len(x), step):
+        d = np.bitwise_count(x[lo : lo + step, None] ^ y[None, :])
+        row, at = _where(d < below[lo : lo + step])
+        found.append((lo + row, at, d[row, at]))
+    return tuple(np.concatenate(v) for v in zip(*found, strict=True))
+
+
+def _coded(df: DataFrame, ident: str, code: str) -> DataFrame:
+    """``id, v`` of rows with a code; one side of a tile, whose columns the other side's must not be."""
+    return df.where(F.col(code).isNotNull()).select(F.col(ident).alias("id"), F.col(code).alias("v"))
+
+
+def _codes(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids in their order, and their codes."""
+    t = t.sort_by("id")
+    return t.column("id").to_numpy().astype(np.int64), t.column("v").to_numpy().view(np.uint64)
+
+
 def hamming_pairs(df: DataFrame, ident: str, code: str, most: int) -> DataFrame:
     """``a, b, dist``: all pairs of rows whose 64-bit codes differ in at most ``most`` bits. Exact for any ``most``.
 
-    Codes are cut into ``most + 1`` or more runs of bits, so a close pair agrees in one; rows meet on equal runs and a pair is kept at
-    its first. With wide limits runs are short and the join is large by nature.
+    For a narrow limit codes are cut into ``most + 1`` runs of bits, so a close pair agrees in one; rows meet on equal runs and a pair is
+    kept at its first. For a wide one every two blocks of rows meet in a tile of bounded size.
     """
+    return _pairs_on_runs(df, ident, code, most) if most <= RUNS_TO else _pairs_in_tiles(df, ident, code, most)
+
+
+def _pairs_in_tiles(df: DataFrame, ident: str, code: str, most: int) -> DataFrame:
+    rows, again = _coded(df, ident, code), _coded(df, ident, code)
+    cut = max(-(-df.count() // PAIRS_TILE), min(df.sparkSession.sparkContext.defaultParallelism, 64), 1)
+    own, numbers = F.pmod(F.xxhash64("id"), F.lit(cut)).cast("long"), lambda lo, hi: F.explode(F.sequence(lo, hi))
+    first = rows.withColumn("g", own).withColumn("h", numbers(F.col("g"), F.lit(cut - 1).cast("long")))
+    second = again.withColumn("h", own).withColumn("g", numbers(F.lit(0).cast("long"), F.col("h")))
+
+    def pair(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        (li, x), (ri, y) = _codes(left), _codes(right)
+        below, out = np.full((len(li), 1), most + 1, np.uint8), ([], [], [])
+        for lo in range(0, len(li), CODES[0]):
+            for j in range(0, len(ri), CODES[1]):
+                row, at, d = _close(x[lo : lo + CODES[0]], y[j : j + CODES[1]], below[lo : lo + CODES[0]])
+                a, b = li[lo + row], ri[j + at]
+                kept = a < b if key[0].as_py() == key[1].as_py() else a != b
+                for part, values in zip(out, (np.minimum(a, b)[kept], np.maximum(a, b)[kept], d[kept]), strict=True):
+                    part.append(values)
+        a, b, d = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in out)
+        return pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64), "dist": d.astype(np.int32)})
+
+    return first.groupBy("g", "h").cogroup(second.groupBy("g", "h")).applyInArrow(pair, "a long, b long, dist int")
+
+
+def _pairs_on_runs(df: DataFrame, ident: str, code: str, most: int) -> DataFrame:
     runs = min(64, most + 1)
     cut = [(64 * i // runs, 64 * (i + 1) // runs) for i in range(runs)]
     part = lambda c, lo, hi: F.shiftrightunsigned(c, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1))
@@ -212,11 +268,41 @@ def hamming_pairs(df: DataFrame, ident: str, code: str, most: int) -> DataFrame:
     return met.where(F.col("i") == first).select("a", "b", hamming(F.col("ca"), F.col("cb")).alias("dist"))
 
 
-def nearest_pairs(pairs: DataFrame, k: int, dist: str = "dist") -> DataFrame:
-    """Pairs that are among the ``k`` nearest of either end."""
-    both = pairs.select("a", "b", dist, F.col("a").alias("_of")).unionByName(pairs.select("a", "b", dist, F.col("b").alias("_of")))
-    w = Window.partitionBy("_of").orderBy(dist, "a", "b")
-    return both.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).select("a", "b", dist).distinct()
+def hamming_neighbours(df: DataFrame, ident: str, code: str, k: int, most: int) -> DataFrame:
+    """``id, other, dist``: the ``k`` nearest rows of each by the bits that their codes differ in, ties by id, at most ``most`` apart. Exact.
+
+    Tiles as in ``cosine_neighbours``; no more than the winners of a tile leave it, however many pairs are close.
+    """
+    q, b = _in_tiles(_coded(df, ident, code), _coded(df, ident, code))
+
+    def pair(left: pa.Table, right: pa.Table) -> pa.Table:
+        (li, x), (ri, y) = _codes(left), _codes(right)
+        near = _Nearest(len(li), k + 1, len(ri))
+        for lo in range(0, len(li), CODES[0]):
+            below = np.full((len(x[lo : lo + CODES[0]]), 1), most + 1, np.uint8)
+            for j in range(0, len(ri), CODES[1]):
+                row, at, d = _close(x[lo : lo + CODES[0]], y[j : j + CODES[1]], below)
+                if len(row):
+                    rows = near.add(lo + row, d.astype(np.float64), j + at)
+                    # Places come in the order of ids, so a later one has to be nearer.
+                    below[rows - lo] = np.minimum(most + 1, near.far[rows, -1:])
+        row, place = np.nonzero(near.at < len(ri))
+        far, other = near.far[row, place], ri[near.at[row, place]]
+        apart = li[row] != other
+        row, far, other = row[apart], far[apart], other[apart]
+        kept = _first_of_each(row, far, other, k) if len(row) else np.zeros(0, np.int64)
+        return pa.table({"id": li[row[kept]], "other": other[kept], "dist": far[kept].astype(np.int32)})
+
+    near = q.groupBy("g", "b").cogroup(b.groupBy("g", "b")).applyInArrow(pair, "id long, other long, dist int")
+    w = Window.partitionBy("id").orderBy("dist", "other")
+    return near.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
+
+
+def nearest_pairs(df: DataFrame, ident: str, code: str, k: int, most: int) -> DataFrame:
+    """``a, b, dist``: pairs at most ``most`` bits apart that are among the ``k`` nearest of either end, ties by the smaller and then the
+    larger id. Of one row's pairs that is the order of the other end's id."""
+    near = hamming_neighbours(df, ident, code, k, most)
+    return near.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), "dist").distinct()
 
 
 def equal_stars(df: DataFrame, ident: str, key: str) -> DataFrame:

@@ -80,7 +80,7 @@ def j16(spark, sf):
 
 @query("w07_nearest_k", f"with {BITS}, p as (select a.vec_id as id, b.vec_id as other, bit_count(xor(a.h, b.h)::bit)::int as dist from e a, e b where a.vec_id <> b.vec_id and bit_count(xor(a.h, b.h)::bit) <= 22), r as (select *, row_number() over (partition by id order by dist, least(id, other), greatest(id, other)) as r from p) select distinct least(id, other) as a, greatest(id, other) as b, dist from r where r <= 3")
 def w07(spark, sf):
-    return S.nearest_pairs(S.hamming_pairs(codes(spark, sf), "id", "h", 22), 3)
+    return S.nearest_pairs(codes(spark, sf), "id", "h", 3, 22)
 
 
 @query("g01_exact_duplicates", "select sha256(text) as digest, count(*) as n, min(doc_id) as first_id from documents group by 1 having count(*) > 1")
@@ -100,7 +100,7 @@ def g02(spark, sf):
     f"with {BITS}, p as (select a.vec_id as id, b.vec_id as other, bit_count(xor(a.h, b.h)::bit)::int as dist from e a, e b where a.vec_id <> b.vec_id and bit_count(xor(a.h, b.h)::bit) <= 22), r as (select *, row_number() over (partition by id order by dist, least(id, other), greatest(id, other)) as r from p) select distinct least(id, other) as a, greatest(id, other) as b, dist from r where r <= 30",
 )
 def g03(spark, sf):
-    return S.nearest_pairs(S.hamming_pairs(codes(spark, sf), "id", "h", 22), 30)
+    return S.nearest_pairs(codes(spark, sf), "id", "h", 30, 22)
 
 
 @query(

@@ -346,3 +346,22 @@ def test_steps_over_branches_and_rings(spark):
     df = spark.createDataFrame(sorted(pairs), "a long, b long").coalesce(1)
     got = similarity.steps_from(df, spark.createDataFrame([(0,)], "node long")).collect()
     assert {r.node: r.steps for r in got} == want and len(got) == 90
+
+
+def test_pairs_of_codes(spark):
+    rng = random.Random(8)
+    codes = {i * 3 - 50: rng.choice((0, -1, rng.getrandbits(63), -rng.getrandbits(63), -(7 << 60))) for i in range(400)}
+    df = spark.createDataFrame([*codes.items(), (9999, None)], "id long, h long")
+    dist = {(a, b): ((codes[a] ^ codes[b]) & (1 << 64) - 1).bit_count() for a in codes for b in codes if a < b}
+    for most in (3, 22):
+        got = similarity.hamming_pairs(df, "id", "h", most).select("a", "dist", "b").collect()
+        assert sorted((r.a, r.b, r.dist) for r in got) == sorted((a, b, d) for (a, b), d in dist.items() if d <= most)
+    near = [sorted((d, a, b) for (a, b), d in dist.items() if i in (a, b) and d <= 22)[:5] for i in codes]
+    got = similarity.nearest_pairs(df, "id", "h", 5, 22).collect()
+    assert sorted((r.dist, r.a, r.b) for r in got) == sorted(set(sum(near, [])))
+
+
+def test_only_winners_leave_a_tile(spark):
+    df = spark.range(3000).select("id", F.lit(5).cast("long").alias("h"))
+    near = similarity.hamming_neighbours(df, "id", "h", 3, 22)
+    assert near.count() == 9000 and near.where("dist > 0 or other > 3").count() == 0
