@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -22,6 +23,11 @@ def first_sentence(text: Column) -> Column:
     return F.element_at(F.split(text, r"(?<=[.!?])[ \t\n\r\f]+"), 1)
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of a value that is worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACES, " "))
 
@@ -153,10 +159,11 @@ ENGLISH_ABBREVIATIONS = ("mr", "mrs", "dr", "st", "etc", "vs", "fig", "no")
 
 def sentences(text: Column, also: tuple[str, ...] = ()) -> Column:
     """Sentences. Stops, with closing quotes and brackets, end one before white space and a capital letter, digit, opening quote, bracket or
-    dash; a full stop does not after an initial or an abbreviation (``also`` adds some)."""
+    dash; a full stop does not after an initial or an abbreviation (``also`` adds some). White space is looked for first, as it is rarer
+    than places to look back from."""
     words = "|".join([*dict.fromkeys(ABBREVIATIONS), *also])
     guard = rf'(?<!(?<!\w)(?:(?iu:{words})|\w)\.[.!?…]{{0,4}}[»"”)]{{0,3}})'
-    parts = F.split(text, rf'(?U)(?<=[.!?…][»"”)]{{0,3}}){guard}\s+(?=[\p{{Lu}}\d«"“„(—–-])')
+    parts = F.split(text, rf'(?U)(?=\s)(?<=[.!?…][»"”)]{{0,3}}){guard}\s+(?=[\p{{Lu}}\d«"“„(—–-])')
     return F.filter(F.transform(parts, lambda s: F.btrim(s, F.lit(" \t\r\n\f"))), lambda s: s != "")
 
 
@@ -176,14 +183,18 @@ def trim_questions(text: Column, also: tuple[str, ...] = ()) -> Column:
     """Sentences without questions; one that is a question by its tag alone stays as a statement. What is left ends with a full stop. The
     text itself if no question was there or fewer than three words are left."""
 
+    def asks(s):
+        return F.contains(s, F.lit("?")) & F.rlike(s, F.lit(QUESTION))
+
     def keep(s):
         stated = F.btrim(F.regexp_replace(s, QUESTION_TAG, ""))
-        return F.when(~F.rlike(s, F.lit(QUESTION)), s).when((stated != s) & (stated != ""), end_with_stop(stated))
+        return F.when(~asks(s), s).when((stated != s) & (stated != ""), end_with_stop(stated))
 
-    every = sentences(text, also)
-    asked = F.exists(every, lambda s: F.rlike(s, F.lit(QUESTION)))
-    left = F.array_join(F.array_compact(F.transform(every, keep)), " ")
-    return F.when(asked & (word_count(left) >= 3), end_with_stop(left)).otherwise(text)
+    def choose(every):
+        left = F.when(F.exists(every, asks), F.array_join(F.array_compact(F.transform(every, keep)), " "))
+        return once(left, lambda kept: F.when(word_count(kept) >= 3, end_with_stop(kept)).otherwise(text))
+
+    return once(sentences(text, also), choose)
 
 
 def truncate_words(text: Column, budget: int) -> Column:
@@ -206,13 +217,11 @@ def cut_before_sentence(text: Column, phrase: str) -> Column:
 
 def cut_before_script(text: Column, script: str = r"Ѐ-ӿ") -> Column:
     """The text up to the first sentence with a letter of the script; an opening quote goes with its sentence."""
-    kept = F.aggregate(
-        sentences(text),
-        F.struct(F.lit(True).alias("open"), F.array().cast("array<string>").alias("kept")),
-        lambda acc, s: F.struct((acc["open"] & ~F.rlike(s, F.lit(f"[{script}]"))).alias("open"), F.when(acc["open"] & ~F.rlike(s, F.lit(f"[{script}]")), F.concat(acc["kept"], F.array(s))).otherwise(acc["kept"]).alias("kept")),
-        lambda acc: acc["kept"],
-    )
-    return F.array_join(kept, " ")
+    def head(every):
+        first = F.array_position(F.transform(every, lambda s: F.rlike(s, F.lit(f"[{script}]"))), F.lit(True))
+        return once(first, lambda at: F.array_join(F.when(at > 0, F.slice(every, F.lit(1), at.cast("int") - 1)).otherwise(every), " "))
+
+    return once(sentences(text), head)
 
 
 def medium(text: Column) -> Column:

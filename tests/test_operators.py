@@ -365,3 +365,13 @@ def test_only_winners_leave_a_tile(spark):
     df = spark.range(3000).select("id", F.lit(5).cast("long").alias("h"))
     near = similarity.hamming_neighbours(df, "id", "h", 3, 22)
     assert near.count() == 9000 and near.where("dist > 0 or other > 3").count() == 0
+
+
+def test_sentences_are_cut_once(spark):
+    df = spark.createDataFrame([("One two three. Really? Fine, right?",), ("Is it? No.",), ("Plain one.",), ("",), (None,)], "text string")
+    trimmed, cut = X.trim_questions(F.col("text")), X.cut_before_script(F.concat("text", F.lit(" Last. \u0416 end. Not. \u0416")))
+    assert [r.t for r in df.select(trimmed.alias("t")).collect()] == ["One two three.", "Is it? No.", "Plain one.", "", None]
+    assert [r.t for r in df.select(cut.alias("t")).collect()] == ["One two three. Really? Fine, right? Last.", "Is it? No. Last.", "Plain one. Last.", "Last.", None]
+    for column in (trimmed, cut):
+        plan = df.select(column.alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") == 1
