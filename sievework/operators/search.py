@@ -155,13 +155,19 @@ def active_options(options: dict, defaults: dict) -> dict:
     return {k: v for k, v in options.items() if not is_unset(v) and v != defaults.get(k)}
 
 
-def write_result(df: DataFrame, path: str, options: dict, defaults: dict, single: bool = True) -> int:
-    """Writes CSV with a header and, beside it, the options in force with the row count, counted while writing."""
+#: Rows of a CSV file at most: a file with line breaks in its values is read by one task.
+FILE_ROWS = 50_000
+
+
+def write_result(df: DataFrame, path: str, options: dict, defaults: dict, single: bool = False) -> int:
+    """Writes CSV with a header in each of its files and, beside it, the options in force with the row count, counted while writing.
+    ``single`` asks for one file, which one task writes and reads."""
     from pyspark.sql import Observation
 
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    (out.coalesce(1) if single else out).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = (out.coalesce(1) if single else out).write.mode("overwrite").option("header", True).option("escape", '"')
+    (writer if single else writer.option("maxRecordsPerFile", FILE_ROWS)).csv(path)
     rows = seen.get["rows"]
     note = json.dumps({"options": active_options(options, defaults), "rows": rows}, ensure_ascii=False, sort_keys=True)
     df.sparkSession.createDataFrame([(note,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.query")

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from sievework.operators.search import FILE_ROWS
+
 #: The first bytes of common image formats.
 IMAGE_MAGIC = (("89504E470D0A1A0A", "png"), ("FFD8FF", "jpg"), ("47494638", "gif"), ("424D", "bmp"))
 
@@ -93,7 +95,8 @@ def cache_key(method: Column, params: Column) -> Column:
 
 
 def write_manifest(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Writes CSV with a header in each of its files, which are small enough for a task each."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option("maxRecordsPerFile", FILE_ROWS).csv(path)
 
 
 def read_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:

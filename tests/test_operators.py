@@ -375,3 +375,15 @@ def test_sentences_are_cut_once(spark):
     for column in (trimmed, cut):
         plan = df.select(column.alias("t"))._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("split(") == 1
+
+
+def test_csv_goes_to_parts(spark, tmp_path):
+    rows = spark.range(120_001).select(F.col("id").alias("doc_id"), F.concat(F.lit('a "b",\n'), F.col("id").cast("string")).alias("text"))
+    for name, write in (("result", lambda p: search.write_result(rows.coalesce(1), p, {}, {})), ("manifest", lambda p: files.write_manifest(rows.coalesce(1), p))):
+        path = str(tmp_path / name)
+        write(path)
+        sizes = [spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(str(p)).count() for p in (tmp_path / name).glob("part-*.csv")]
+        assert sorted(sizes) == [20_001, 50_000, 50_000]
+        back = files.read_manifest(spark, path, "doc_id long, text string")
+        assert back.exceptAll(rows).isEmpty() and back.count() == 120_001
+    assert search.write_result(rows, str(tmp_path / "one"), {}, {}, single=True) == 120_001 and len(list((tmp_path / "one").glob("part-*.csv"))) == 1
