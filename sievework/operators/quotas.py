@@ -37,7 +37,8 @@ def balanced_pair(colour: Column, mono: Column, percent: int, total: int | None
 def stratified_target(df: DataFrame, mode: str, stratum: str, area: str, ident: str, target: int, first_mode: str, first_share: float) -> DataFrame:
     """``target`` rows: a share of one mode, shortage filled from the other, spread over strata by largest remainder, largest areas first.
 
-    One small aggregate of the two modes' sizes reaches the driver.
+    One small aggregate of the two modes' sizes reaches the driver. No stratum's quota is above its mode's, so each task keeps that many
+    rows of a stratum before they meet.
     """
     sizes = {r[0]: r[1] for r in df.groupBy((F.col(mode) == first_mode).alias("m")).count().collect()}
     want = min(sizes.get(True, 0), round(target * first_share))
@@ -48,7 +49,7 @@ def stratified_target(df: DataFrame, mode: str, stratum: str, area: str, ident:
         pool = df.where((F.col(mode) == first_mode) == is_first)
         quota = largest_remainder(pool.groupBy(stratum).agg(F.count("*").alias("_n")), stratum, "_n", n).select(stratum, "quota")
         w = Window.partitionBy(stratum).orderBy(F.col(area).desc(), F.col(ident))
-        parts.append(pool.withColumn("_r", F.row_number().over(w)).join(F.broadcast(quota), stratum).where(F.col("_r") <= F.col("quota")).drop("_r", "quota"))
+        parts.append(pool.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).join(F.broadcast(quota), stratum).where(F.col("_r") <= F.col("quota")).drop("_r", "quota"))
     return parts[0].unionByName(parts[1])
 
 

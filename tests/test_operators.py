@@ -387,3 +387,17 @@ def test_csv_goes_to_parts(spark, tmp_path):
         back = files.read_manifest(spark, path, "doc_id long, text string")
         assert back.exceptAll(rows).isEmpty() and back.count() == 120_001
     assert search.write_result(rows, str(tmp_path / "one"), {}, {}, single=True) == 120_001 and len(list((tmp_path / "one").glob("part-*.csv"))) == 1
+
+
+def test_strata_are_cut_before_they_meet(spark):
+    df = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, "R").otherwise("N").alias("mode"), (F.col("id") % 4).alias("y"), (F.col("id") % 50).cast("double").alias("area"))
+    out = quotas.stratified_target(df, "mode", "y", "area", "id", 100, "R", 0.6)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    rows = [r.asDict() for r in df.collect()]
+    want = set()
+    for mode, n in (("R", 60), ("N", 40)):
+        for y in range(4):
+            pool = sorted((r for r in rows if r["mode"] == mode and r["y"] == y), key=lambda r: (-r["area"], r["id"]))
+            want |= {r["id"] for r in pool[: n // 4]}
+    assert {r.id for r in out.collect()} == want
