@@ -8,6 +8,7 @@ import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -402,22 +403,25 @@ def verdict_letter(reply: Column) -> Column:
     return F.when(first.isin("Y", "N", "I"), first)
 
 
-@F.pandas_udf(T.StringType())
-def decode_text(raw: pd.Series) -> pd.Series:
-    """Bytes as text: UTF-16 by its mark, UTF-8 with or without one, else Windows-1251."""
+@F.arrow_udf(T.StringType())
+def _decode_other(raw: pa.Array) -> pa.Array:
+    """Bytes that are not UTF-8: UTF-16 by its mark, else Windows-1251. A few rows at a time, so that a worker holds a batch and its result."""
 
     def one(b):
         if b is None:
             return None
-        b = bytes(b)
-        if b[:2] in (b"\xff\xfe", b"\xfe\xff"):
-            return b.decode("utf-16", errors="replace")
-        try:
-            return b.decode("utf-8-sig")
-        except UnicodeDecodeError:
-            return b.decode("cp1251", errors="replace")
+        return str(b, "utf-16" if b[:2] in (b"\xff\xfe", b"\xfe\xff") else "cp1251", "replace")
+
+    parts = [pa.array(map(one, raw[lo : lo + 256].to_pylist()), pa.string()) for lo in range(0, len(raw), 256)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
 
-    return raw.map(one)
+def decode_text(raw: Column) -> Column:
+    """Bytes as text: UTF-16 by its mark, UTF-8 with or without one, else Windows-1251. Only bytes that are not UTF-8 go through Python."""
+    text = raw.cast("string")
+    plain = F.is_valid_utf8(text)
+    bare = F.when(F.startswith(text, F.lit("\ufeff")), F.substring(text, 2, 1 << 30)).otherwise(text)
+    return F.coalesce(F.when(plain, bare), _decode_other(F.when(~plain, raw)))
 
 
 @F.pandas_udf(T.StringType())

@@ -401,3 +401,11 @@ def test_strata_are_cut_before_they_meet(spark):
             pool = sorted((r for r in rows if r["mode"] == mode and r["y"] == y), key=lambda r: (-r["area"], r["id"]))
             want |= {r["id"] for r in pool[: n // 4]}
     assert {r.id for r in out.collect()} == want
+
+
+def test_bytes_that_are_utf8_stay_out_of_python(spark):
+    texts = {b"plain": "plain", "\ufeffмир😀".encode(): "мир😀", "мир".encode("utf-16"): "мир",
+             b"\xfe\xff" + "м😀".encode("utf-16-be"): "м😀", "мир".encode("cp1251"): "мир", b"\xff\xfe\x00\xd8": "\ufffd", b"": "", b"\x98a": "\ufffda", b"\xed\xa0\x80": "\u043d\xa0\u0402"}
+    df = spark.createDataFrame([(bytearray(k),) for k in texts] + [(None,)], "raw binary").select("raw", X.decode_text(F.col("raw")).alias("text"))
+    assert {r.raw and bytes(r.raw): r.text for r in df.collect()} == texts | {None: None}
+    assert "CASE WHEN" in str(df._jdf.queryExecution().optimizedPlan()).split("_decode_other(")[1][:60]
